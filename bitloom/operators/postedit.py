@@ -1,0 +1,44 @@
+"""Analysis of human post-edits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from bitloom.functions import kernels
+
+
+def diff_rows(df: DataFrame, mt: str = "translation", post_edit: str = "post_edit") -> DataFrame:
+    """(row_idx, ratio, ops) per row."""
+    diff = kernels.word_diff(F.col(mt), F.col(post_edit)).alias("d")
+    return df.select("row_idx", diff).select("row_idx", "d.ratio", "d.ops")
+
+
+def ratio_stats(diffs: DataFrame) -> DataFrame:
+    """Mean, population std, min and max of the word-sequence ratio."""
+    return diffs.agg(
+        F.count("ratio").alias("total_samples"), F.avg("ratio").alias("mean_ratio"),
+        F.stddev_pop("ratio").alias("std_ratio"), F.min("ratio").alias("min_ratio"),
+        F.max("ratio").alias("max_ratio"))
+
+
+def _operations(diffs: DataFrame, kind: str) -> DataFrame:
+    ops = diffs.select("row_idx", F.posexplode("ops").alias("op_idx", "o"))
+    return ops.where(F.col("o.op") == kind)
+
+
+def top_words(diffs: DataFrame, kind: str = "insert", k: int = 10) -> DataFrame:
+    """Most frequent inserted or deleted words; equal counts in order of first appearance."""
+    words = "o.pe_words" if kind == "insert" else "o.mt_words"
+    found = _operations(diffs, kind).select(
+        "row_idx", "op_idx", F.posexplode(words).alias("word_idx", "word"))
+    counted = found.groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("row_idx", "op_idx", "word_idx")).alias("_first"))
+    return counted.orderBy(F.desc("n"), "_first").limit(k).select("word", "n")
+
+
+def first_replacements(diffs: DataFrame, k: int = 20) -> DataFrame:
+    """The first k replaced phrases in row order."""
+    return _operations(diffs, "replace").orderBy("row_idx", "op_idx").limit(k).select(
+        "row_idx", "op_idx", F.array_join("o.mt_words", " ").alias("original"),
+        F.array_join("o.pe_words", " ").alias("edited"))
