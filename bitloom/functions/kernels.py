@@ -140,11 +140,19 @@ class _Beam:
         return np.where((j >= 0) & (j <= len(self.ref)), j, _FAR)
 
     def forward(self, hyp: np.ndarray):
-        self.front = [self.first_row()]
-        for i in range(1, self.n + 1):
-            self.front.append(self._row(self.front[-1], np.array(i), hyp[i - 1]))
-        self.front = np.array(self.front)
-        return int(self.front[self.n][len(self.ref) - self.base[self.n] + 1])
+        """Fills ``front``; one hypothesis word per step, so plain slices do."""
+        front = np.full((self.n + 1, self.width + self.pad + 1), _FAR)
+        front[0] = self.first_row()
+        last = len(self.ref) + 1
+        for i, (word, base, step) in enumerate(zip(hyp, self.base[1:], self.step[1:]), 1):
+            previous, at = front[i - 1], base - 1 + self.low
+            cost = previous[step:step + self.width] + (self.ref_at[at:at + self.width] != word)
+            np.minimum(cost, previous[step + 1:step + 1 + self.width] + 1, out=cost)
+            low, high = max(-base, 0), min(last - base, self.width)
+            k = self.k[low:high]
+            front[i, low + 1:high + 1] = np.minimum.accumulate(cost[low:high] - k) + k
+        self.front = front
+        return int(front[self.n][len(self.ref) - self.base[self.n] + 1])
 
     def backward(self, hyp: np.ndarray):
         j, valid = self._cells(np.array(self.n))
@@ -210,29 +218,35 @@ class _Beam:
 
 
 def _shift_candidates(hyp, ref, align, hyp_err, ref_err, budget: int):
-    """(run start, length, target) of the shifts to try; None once ``budget`` is used up."""
-    found = []
+    """(run start, length, target) of the shifts to try; None once ``budget`` is used up.
+
+    ``equal[h, d]`` tells whether hypothesis word h is reference word h + d - MAX_SHIFT_DISTANCE;
+    equal runs are diagonals, so longer runs follow from shorter ones.
+    """
+    r = np.arange(len(hyp))[:, None] + np.arange(-MAX_SHIFT_DISTANCE, MAX_SHIFT_DISTANCE + 1)
+    inside = (r >= 0) & (r < len(ref))
+    equal = inside & (ref[np.clip(r, 0, len(ref) - 1)] == hyp[:, None])
     bad_h, bad_r = np.append(0, hyp_err.cumsum()), np.append(0, ref_err.cumsum())
-    for h in range(len(hyp)):
-        first, last = max(0, h - MAX_SHIFT_DISTANCE), min(len(ref), h + MAX_SHIFT_DISTANCE + 1)
-        for r in np.flatnonzero(ref[first:last] == hyp[h]) + first:
-            longest = min(MAX_SHIFT_LENGTH, len(hyp) - h, len(ref) - r)
-            equal = hyp[h:h + longest] == ref[r:r + longest]
-            run = longest if equal.all() else int(equal.argmin())
-            for length in range(1, run + 1):
-                if bad_h[h + length] == bad_h[h] or bad_r[r + length] == bad_r[r]:
-                    continue
-                if h <= align[r] < h + length:
-                    continue
-                before = -1
-                for at in range(r - 1, r + length):
-                    target = 0 if at < 0 else int(align[at]) + 1
-                    if target != before:
-                        found.append((h, length, target))
-                    before = target
-                if len(found) >= budget:
-                    return None
-    return found
+    run, runs = equal, []
+    for length in range(1, min(MAX_SHIFT_LENGTH, len(hyp)) + 1):
+        if length > 1:
+            run = run[:-1] & equal[length - 1:]
+        h, d = np.nonzero(run)
+        at = h + d - MAX_SHIFT_DISTANCE
+        wrong = (bad_h[h + length] > bad_h[h]) & (bad_r[at + length] > bad_r[at])
+        useful = wrong & ~((h <= align[at]) & (align[at] < h + length))
+        runs += zip(h[useful].tolist(), at[useful].tolist(), [length] * int(useful.sum()))
+        if len(runs) >= budget:
+            return None
+    found = []
+    for h, at, length in runs:
+        before = -1
+        for place in range(at - 1, at + length):
+            target = 0 if place < 0 else int(align[place]) + 1
+            if target != before:
+                found.append((h, length, target))
+            before = target
+    return found if len(found) < budget else None
 
 
 def _moved(hyp, start, length, target):

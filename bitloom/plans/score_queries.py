@@ -44,12 +44,18 @@ def _edge_words(column: str) -> str:
 
 def _grams(name: str, tokens: str, orders: int, glue: str, first: int = 0) -> str:
     """CTEs ``<name>_m``: per row and order (numbered from ``first``) match, hyp and ref counts."""
-    sides = "\nUNION ALL ".join(
-        f"""SELECT sample_id, grp, {first + n} AS n, '{s}' AS side,
-  unnest(list_transform(range(1, len({s}) - {n} + 2), lambda i: array_to_string({s}[i:i + {n} - 1], '{glue}'))) AS gram FROM {tokens}"""
-        for n in range(1, orders + 1) for s in "hr")
-    return f""", {name}_c AS (SELECT sample_id, grp, n, gram, count(*) FILTER (side = 'h') AS h, count(*) FILTER (side = 'r') AS r
-  FROM ({sides}) GROUP BY ALL)
+    ahead = ", ".join(f"lead(t, {k}) OVER w AS t{k}" for k in range(1, orders))
+    sides = " UNION ALL ".join(
+        f"SELECT sample_id, grp, '{s}' AS side, unnest({s}) AS t, generate_subscripts({s}, 1) AS i FROM {tokens}"
+        for s in "hr")
+    grams = " UNION ALL ".join(
+        f"SELECT sample_id, grp, side, {first + n} AS n, {(' || ' + repr(glue) + ' || ').join(['t'] + [f't{k}' for k in range(1, n)])} AS gram FROM {name}_w"
+        for n in range(1, orders + 1))
+    return f""", {name}_t AS ({sides})
+, {name}_w AS (SELECT *, {ahead} FROM {name}_t WINDOW w AS (PARTITION BY sample_id, side ORDER BY i))
+, {name}_g AS ({grams})
+, {name}_c AS (SELECT sample_id, grp, n, gram, count(*) FILTER (side = 'h') AS h, count(*) FILTER (side = 'r') AS r
+  FROM {name}_g WHERE gram IS NOT NULL GROUP BY ALL)
 , {name}_m AS (SELECT sample_id, grp, n, sum(least(h, r)) AS m, sum(h) AS h, sum(r) AS r FROM {name}_c GROUP BY ALL)"""
 
 
@@ -197,7 +203,7 @@ SELECT sample_id, round(CASE WHEN b IS NULL AND comet IS NULL AND f IS NULL AND
   (CASE WHEN b IS NULL THEN 0 ELSE 1 END + CASE WHEN comet IS NULL THEN 0 ELSE 2 END + CASE WHEN f IS NULL THEN 0 ELSE 1.5 END + CASE WHEN t IS NULL THEN 0 ELSE 0.5 END)
   END::DOUBLE, 6) AS aggregate_score
 FROM (SELECT sample_id, comet_qe AS b, comet, CASE WHEN bert_f1 <> 0 THEN bert_f1 ELSE 0.25 END AS f,
-  greatest(0, 1 - 2 * comet) AS t FROM v_scores)""")
+  CASE WHEN comet IS NOT NULL THEN greatest(0, 1 - 2 * comet) END AS t FROM v_scores)""")
 def aggregate_score(spark, folder):
     score = metrics.aggregate_score({
         "bleu": 100 * F.col("comet_qe"), "comet": F.col("comet"), "bert_score": F.col("bert_f1"),
@@ -241,8 +247,9 @@ _JUDGED = rf""", q1 AS (SELECT v_decorated.*, comet_qe, comet, bert_f1, {_CLASS}
     list_filter(sp, lambda p: NOT list_contains(tp, p)) AS missing, list_filter(tp, lambda p: NOT list_contains(sp, p)) AS extra
   FROM q1)
 , q3 AS (SELECT *,
-    round(greatest(0, least(1, 1.0::DOUBLE - 0.1 * repeats - CASE WHEN regexp_matches(translation, '[.!?"'']\s*$') THEN 0 ELSE 0.1 END
-      - CASE WHEN length(translation) < 5 THEN 0.3 ELSE 0 END))::DOUBLE, 6) AS fluency,
+    greatest(0, least(1, list_reduce(list_transform(range(0, repeats + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.1::DOUBLE END), lambda a, b: a - b)
+      - CASE WHEN regexp_matches(translation, '[.!?"'']\s*$') THEN 0.0::DOUBLE ELSE 0.1::DOUBLE END
+      - CASE WHEN length(translation) < 5 THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END)) AS fluency,
     round(greatest(0, 1 - 0.1 * len(lost))::DOUBLE, 6) AS terminology,
     list_transform(lost, lambda t: 'Technical term ''' || t || ''' may need review') AS term_issues,
     round(greatest(0, 1 - 0.3 * len(missing) - 0.2 * len(extra))::DOUBLE, 6) AS formatting,
@@ -251,7 +258,7 @@ _JUDGED = rf""", q1 AS (SELECT v_decorated.*, comet_qe, comet, bert_f1, {_CLASS}
     CASE WHEN comet_qe <> 0 THEN comet_qe WHEN comet <> 0 THEN comet ELSE 0.7 END::DOUBLE AS accuracy
   FROM q2)
 , q4 AS (SELECT *,
-    CASE WHEN fluency > 0.8 THEN 'minor' WHEN fluency > 0.5 OR repeats = 5 AND fluency = 0.5 THEN 'major' ELSE 'critical' END AS fluency_severity,
+    CASE WHEN fluency > 0.8::DOUBLE THEN 'minor' WHEN fluency > 0.5::DOUBLE THEN 'major' ELSE 'critical' END AS fluency_severity,
     CASE WHEN accuracy > 0.8::DOUBLE THEN 'minor' WHEN accuracy > 0.6::DOUBLE THEN 'major' ELSE 'critical' END AS accuracy_severity,
     CASE WHEN terminology > 0.9 THEN 'minor' ELSE 'major' END AS terminology_severity,
     CASE WHEN formatting > 0.9 THEN 'minor' ELSE 'critical' END AS formatting_severity,
@@ -301,7 +308,7 @@ def error_distribution(spark, folder):
     return rounded(qe.error_distribution(qe.estimate_quality(_rows(spark, folder))))
 
 
-@query(_QE + "SELECT sample_id, repeats, fluency FROM q4")
+@query(_QE + "SELECT sample_id, repeats, round(fluency, 6) AS fluency FROM q4")
 def fluency_scores(spark, folder):
     from bitloom.functions import quality as q
     return rounded(_rows(spark, folder).select(

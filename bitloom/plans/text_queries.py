@@ -124,10 +124,17 @@ def brand_roundtrip(spark, folder):
     return held.select("sample_id", "protected", protect.restore_brands(F.col("protected")).alias("restored"))
 
 
-@query(views.sql(views.DECORATED) + """
-SELECT sample_id, CASE WHEN contains(source, 'Bluetooth')
-    THEN replace(replace(source, 'Bluetooth', '__TERM_0__'), 'USB-C', '__TERM_1__') ELSE source END AS text,
-  CASE WHEN contains(source, 'Bluetooth') THEN 'Bluetooth,USB-C' ELSE '' END AS terms, source AS restored FROM v_decorated""")
+def _term_fold() -> str:
+    steps = [", p0 AS (SELECT sample_id, source, source AS text, [] AS terms FROM v_decorated)"]
+    ordered = sorted(config.PROTECTED_TERMS, key=lambda t: (-len(t), t))
+    for i, term in enumerate(ordered):
+        steps.append(f""", p{i + 1} AS (SELECT sample_id, source,
+  CASE WHEN contains(text, '{term}') THEN replace(text, '{term}', '__TERM_' || len(terms) || '__') ELSE text END AS text,
+  CASE WHEN contains(text, '{term}') THEN list_append(terms, '{term}') ELSE terms END AS terms FROM p{i})""")
+    return "\n".join(steps) + f"\nSELECT sample_id, text, array_to_string(terms, ',') AS terms, source AS restored FROM p{len(ordered)}"
+
+
+@query(views.sql(views.DECORATED) + _term_fold())
 def term_protect(spark, folder):
     held = views.decorated(spark, folder).select("sample_id", "source", protect.protect_terms(F.col("source")).alias("p"))
     return held.select("sample_id", F.col("p.text").alias("text"),
@@ -313,7 +320,9 @@ def prompts_rendered(spark, folder):
 
 
 @query(views.sql(views.PAIRS) + f"""
-SELECT sample_id, template, {_STRIP.format("target")} AS answer FROM v_pairs, (VALUES ('llama'), ('mistral'), ('phi'), ('gpt2'), ('generic')) t(template)""")
+SELECT sample_id, template, CASE WHEN template = 'gpt2' THEN {_STRIP.format("'English: ' || source || chr(10) || 'Dutch: ' || target")}
+  ELSE {_STRIP.format("target")} END AS answer FROM v_pairs, (VALUES ('llama'), ('mistral'), ('phi'), ('gpt2'), ('generic')) t(template)""")
 def response_extract(spark, folder):
+    """The gpt2 template names the language first, so its first marker is in the instruction."""
     rows = prompts_rendered(spark, folder)
     return rows.select("sample_id", "template", prompts.extract_response(F.col("full_prompt")).alias("answer"))

@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitloom.functions import text as tx
+from bitloom.session import spread
+
+TEXT_TABLES = ("documents", "pages")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows) if name in TEXT_TABLES else rows
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,6 +22,8 @@ DEFAULTS = {
 
 # Largest row count of a side that may be broadcast. Beyond it the operators shuffle instead.
 BROADCAST_ROWS = 200_000
+# Default size of a file split.
+SPLIT_BYTES = 128 << 20
 
 
 def build_session(app: str = "bitloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -57,3 +59,18 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only for a side whose row count was checked."""
     return F.broadcast(df) if fits_broadcast(df, limit) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deals a small table out over all task slots before work that is heavy per row.
+
+    Small means: fewer files than slots and fewer bytes than would fill the slots with splits.
+    Any other table is left alone, so at scale nothing is moved.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not 0 < len(files) < slots:
+        return df
+    # only the file lengths are read
+    sizes = df.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length"))
+    return df.repartition(slots) if sizes.first()[0] < slots * SPLIT_BYTES else df
