@@ -85,6 +85,10 @@ def word_diff(mt: pd.Series, post_edit: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"ratio": ratios, "ops": blocks})
 
 
+# Filters on the result must not make Spark run the diff once more before them.
+word_diff = word_diff.asNondeterministic()
+
+
 # --- shift-aware edit distance -------------------------------------------------------------------
 # Fixed values of the published search.
 MAX_SHIFT_LENGTH, MAX_SHIFT_DISTANCE, MAX_CANDIDATES, BEAM = 10, 50, 1000, 25

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitloom.functions import kernels
@@ -22,23 +22,22 @@ def ratio_stats(diffs: DataFrame) -> DataFrame:
         F.max("ratio").alias("max_ratio"))
 
 
-def _operations(diffs: DataFrame, kind: str) -> DataFrame:
+def top_words(diffs: DataFrame, k: int = 10) -> DataFrame:
+    """(kind, word, n): the most frequent inserted and deleted words; equal counts in order of first
+    appearance. Tasks pass on their k best words per kind only."""
     ops = diffs.select("row_idx", F.posexplode("ops").alias("op_idx", "o"))
-    return ops.where(F.col("o.op") == kind)
-
-
-def top_words(diffs: DataFrame, kind: str = "insert", k: int = 10) -> DataFrame:
-    """Most frequent inserted or deleted words; equal counts in order of first appearance."""
-    words = "o.pe_words" if kind == "insert" else "o.mt_words"
-    found = _operations(diffs, kind).select(
-        "row_idx", "op_idx", F.posexplode(words).alias("word_idx", "word"))
-    counted = found.groupBy("word").agg(
+    words = F.when(F.col("o.op") == "insert", F.col("o.pe_words")).when(F.col("o.op") == "delete", F.col("o.mt_words"))
+    found = ops.select(F.col("o.op").alias("kind"), "row_idx", "op_idx", F.posexplode(words).alias("word_idx", "word"))
+    counted = found.groupBy("kind", "word").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("row_idx", "op_idx", "word_idx")).alias("_first"))
-    return counted.orderBy(F.desc("n"), "_first").limit(k).select("word", "n")
+    best = Window.partitionBy("kind").orderBy(F.desc("n"), "_first")
+    ranked = counted.withColumn("_rn", F.row_number().over(best))
+    return ranked.where(F.col("_rn") <= k).select("kind", "word", "n")
 
 
 def first_replacements(diffs: DataFrame, k: int = 20) -> DataFrame:
     """The first k replaced phrases in row order."""
-    return _operations(diffs, "replace").orderBy("row_idx", "op_idx").limit(k).select(
+    ops = diffs.select("row_idx", F.posexplode("ops").alias("op_idx", "o")).where(F.col("o.op") == "replace")
+    return ops.orderBy("row_idx", "op_idx").limit(k).select(
         "row_idx", "op_idx", F.array_join("o.mt_words", " ").alias("original"),
         F.array_join("o.pe_words", " ").alias("edited"))

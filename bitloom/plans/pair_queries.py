@@ -24,9 +24,9 @@ def query(sql: str | None = None):
     return register
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Floating point columns rounded for comparison between engines."""
-    return df.select(*[F.round(f.name, 6).alias(f.name) if f.dataType.typeName() in ("double", "float")
+    return df.select(*[F.round(f.name, digits).alias(f.name) if f.dataType.typeName() in ("double", "float")
                        else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 

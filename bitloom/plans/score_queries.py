@@ -94,8 +94,8 @@ def bleu_sentence(spark, folder):
     return rounded(metrics.sentence_bleu(views.eval_rows(spark, folder)).select("sample_id", "bleu"))
 
 
-_CHRF = (views.sql(views.EVAL) + rf""", chars AS (SELECT sample_id, 1 AS grp, string_split(regexp_replace(hypothesis, '\s+', '', 'g'), '') AS h,
-  string_split(regexp_replace(reference, '\s+', '', 'g'), '') AS r FROM v_eval)
+_CHRF = (views.sql(views.EVAL) + rf""", chars AS (SELECT sample_id, 1 AS grp, CASE WHEN hypothesis <> '' THEN string_split(regexp_replace(hypothesis, '\s+', '', 'g'), '') ELSE [] END AS h,
+  CASE WHEN reference <> '' THEN string_split(regexp_replace(reference, '\s+', '', 'g'), '') ELSE [] END AS r FROM v_eval)
 , edge AS (SELECT sample_id, 1 AS grp, {_edge_words('hypothesis')} AS h, {_edge_words('reference')} AS r FROM v_eval)"""
          + _grams("cc", "chars", 6, "") + _grams("cw", "edge", 2, " ", first=6)
          + """, o AS (SELECT sample_id, n, m, CASE WHEN r > 0 THEN h ELSE 0 END AS h, r FROM (SELECT * FROM cc_m UNION ALL SELECT * FROM cw_m))
@@ -348,10 +348,11 @@ def feedback(spark, folder):
         *severities, F.array_join("suggestions", "|").alias("suggestions"), "overall_score"))
 
 
-@query(_QE + """SELECT count(overall) AS num_samples, round(avg(overall), 6) AS mean_score, round(stddev_pop(overall), 6) AS std_score,
-  round(min(overall), 6) AS min_score, round(max(overall), 6) AS max_score, round(quantile_cont(overall, 0.5), 6) AS median_score FROM q4""")
+@query(_QE + """SELECT count(overall) AS num_samples, round(avg(overall), 8) AS mean_score, round(stddev_pop(overall), 8) AS std_score,
+  round(min(overall), 8) AS min_score, round(max(overall), 8) AS max_score, round(quantile_cont(overall, 0.5), 8) AS median_score FROM q4""")
 def score_summary(spark, folder):
-    return rounded(qe.score_summary(qe.generate_feedback(_rows(spark, folder))))
+    # eight digits: a mean of many short decimals may lie exactly between two six-digit numbers
+    return rounded(qe.score_summary(qe.generate_feedback(_rows(spark, folder))), 8)
 
 
 @query(views.sql(views.SCORES) + """SELECT count(*) FILTER (comet_qe > 0.8::DOUBLE) AS excellent,
@@ -395,9 +396,7 @@ def postedit_ratio(spark, folder):
 
 @query()
 def postedit_top_words(spark, folder):
-    diffs = _diffs(spark, folder)
-    kinds = [postedit.top_words(diffs, k).withColumn("kind", F.lit(k)) for k in ("insert", "delete")]
-    return kinds[0].unionByName(kinds[1])
+    return postedit.top_words(_diffs(spark, folder))
 
 
 @query()

@@ -228,13 +228,13 @@ def feature_store_load(spark, folder):
 # Terms for the lookups come from the texts: the most frequent words stand in for a glossary.
 _FREQ = rf"""freq AS (SELECT w AS word, count(*) AS n FROM
   (SELECT unnest(regexp_extract_all(lower(text), '\S+')) AS w FROM documents) GROUP BY 1)
-, terms AS (SELECT word AS term, upper(word) AS translation FROM freq WHERE n >= 20)"""
+, terms AS (SELECT word AS term, '<' || word || '>' AS translation FROM freq WHERE n >= 20)"""
 
 
 def _text_glossary(spark, folder):
     docs = views.table(spark, folder, "documents")
     return glossary.word_frequencies(docs).where("n >= 20").select(
-        F.col("word").alias("term"), F.upper("word").alias("translation"))
+        F.col("word").alias("term"), F.concat(F.lit("<"), "word", F.lit(">")).alias("translation"))
 
 
 @query(f"""WITH {_FREQ}, o AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\S+')) AS word FROM documents)
@@ -265,9 +265,8 @@ SELECT term, translation FROM terms WHERE term NOT IN (SELECT term FROM fresh)
 UNION ALL SELECT term, translation FROM fresh""")
 def glossary_upsert(spark, folder):
     seen = glossary.word_frequencies(views.table(spark, folder, "documents")).where("n between 10 and 30")
-    fresh = seen.select(F.upper("word").alias("term"), F.concat(F.lit("seen "), F.col("n").cast("string")).alias("translation"))
-    # upper-casing is undone by the upsert for words that survive the round trip
-    return glossary.upsert(_text_glossary(spark, folder), fresh.withColumn("term", F.lower("term")))
+    fresh = seen.select(F.col("word").alias("term"), F.concat(F.lit("seen "), F.col("n").cast("string")).alias("translation"))
+    return glossary.upsert(_text_glossary(spark, folder), fresh)
 
 
 _DICT = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in config.FALLBACK_WORDS.items()) + "}"
