@@ -103,8 +103,9 @@ def contained_terms(text: Column, terms: list[str], lower: bool = False,
     """Terms of the list found in the text as substrings, or as whole words on request."""
     haystack = F.lower(text) if lower else text
     if word_boundary:
-        test = lambda t: lambda term: t.rlike(
-            F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), term, F.lit(r"\E(?![\p{L}\p{N}])")))
+        whole = lambda term: F.concat(
+            F.lit(r"(?<![\p{L}\p{N}])\Q"), term, F.lit(r"\E(?![\p{L}\p{N}])"))
+        test = lambda t: lambda term: F.regexp_like(t, whole(term))
     else:
         test = lambda t: lambda term: F.contains(t, term)
     return let(haystack, lambda t: F.filter(strings(sorted(terms)), test(t)))
