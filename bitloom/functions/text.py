@@ -22,11 +22,11 @@ SPACE_CHARS = "".join(
     map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
               0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
-# First character that NFKC may change (everything outside the stable ranges).
+# A character that NFKC may change: outside these stable ranges. ASCII leaves at the first test.
 NFKC_UNSTABLE = (
-    r"[^\x00-\x9f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\u0131\u0134-\u013e"
+    r"[\xa0-\x{10ffff}&&[^\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\u0131\u0134-\u013e"
     r"\u0141-\u0148\u014a-\u017e\u0180-\u01c3\u01cd-\u01f0\u01f4-\u02af"
-    r"\u2012-\u2016\u2018-\u2023\u20ac]"
+    r"\u2012-\u2016\u2018-\u2023\u20ac]]"
 )
 
 
@@ -68,8 +68,7 @@ def _nfkc(text: pd.Series) -> pd.Series:
 
 def nfkc(text: Column) -> Column:
     """NFKC form. Only text holding a character that NFKC may change is sent to Python."""
-    unstable = text.rlike(NFKC_UNSTABLE)
-    return F.when(unstable, _nfkc(F.when(unstable, text))).otherwise(text)
+    return F.coalesce(_nfkc(F.when(text.rlike(NFKC_UNSTABLE), text)), text)
 
 
 def normalize_whitespace(text: Column) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from bitloom import config
 from bitloom.functions import text as tx
-from bitloom.operators.quantiles import exact_quantiles, pivot_quantiles
+from bitloom.operators.quantiles import (
+    moments_of_counts, pivot_quantiles, quantiles_of_counts, value_counts)
 
 NUMERIC = [
     "source_length_chars", "source_length_words", "target_length_chars", "target_length_words",
@@ -77,17 +78,11 @@ def flatten_lists(features: DataFrame) -> DataFrame:
 
 def describe_features(features: DataFrame, columns: list[str] = NUMERIC) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per numeric feature."""
-    slim = features.select(*columns)
+    # one pass over the features; everything else works on the counted values
+    counts = value_counts(features, columns)
     names = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
-    moments = slim.agg(*[
-        F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                 F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(c)
-        for c in columns])
-    moments = moments.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("metric"), f"{c}.count", f"{c}.mean", f"{c}.std", f"{c}.min", f"{c}.max")
-        for c in columns])))
-    quartiles = pivot_quantiles(exact_quantiles(slim, columns, list(names)), names)
-    return moments.join(F.broadcast(quartiles), "metric", "left").select(
+    quartiles = pivot_quantiles(quantiles_of_counts(counts, list(names)), names)
+    return moments_of_counts(counts).join(F.broadcast(quartiles), "metric").select(
         "metric", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

@@ -23,7 +23,24 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
     """(metric, prob, quantile) with linear interpolation between neighbouring ranks."""
-    counts = value_counts(df, columns)
+    return quantiles_of_counts(value_counts(df, columns), probs)
+
+
+def moments_of_counts(counts: DataFrame) -> DataFrame:
+    """count, mean, sample std, min and max per metric, with the deviations taken from the mean."""
+    value, n = F.col("value"), F.col("n")
+    means = counts.groupBy("metric").agg(
+        F.sum("n").alias("count"), (F.sum(value * n) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    # one row per column on the broadcast side
+    centred = counts.join(F.broadcast(means), "metric")
+    square = F.sum(n * (value - F.col("mean")) * (value - F.col("mean")))
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_square") / (F.col("count") - 1)))
+    spread = centred.groupBy("metric", "count", "mean", "min", "max").agg(square.alias("_square"))
+    return spread.select("metric", "count", "mean", std.alias("std"), "min", "max")
+
+
+def quantiles_of_counts(counts: DataFrame, probs: list[float]) -> DataFrame:
     bounds = counts.groupBy("metric").agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total"))
     width = (F.col("hi") - F.col("lo")) / _BUCKETS
@@ -42,14 +59,15 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
         "rank", F.explode(F.array_distinct(F.array(F.floor(rank), F.ceil(rank)))))
     targets = targets.where((F.col("rank") >= F.col("before"))
                             & (F.col("rank") < F.col("before") + F.col("in_bucket")))
-    targets = targets.select("metric", "bucket", "total", "prob", "rank", "before")
+    targets = targets.select("metric", "bucket", "prob", "rank", "before")
 
     # rank only the distinct values inside the buckets that hold a wanted rank
     hit = F.broadcast(targets.select("metric", "bucket", "before").distinct())
     inside = Window.partitionBy("metric", "bucket").orderBy("value").rowsBetween(
         Window.unboundedPreceding, 0)
+    # the total comes from this side, so both uses of ``bounds`` are one plan and its exchange is shared
     ranked = bucketed.join(hit, ["metric", "bucket"]).select(
-        "metric", "bucket", "value", "n",
+        "metric", "bucket", "value", "n", "total",
         (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("first"))
     found = ranked.join(F.broadcast(targets.drop("before")), ["metric", "bucket"]).where(
         (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n")))

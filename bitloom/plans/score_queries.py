@@ -141,6 +141,22 @@ def evaluation_json(spark, folder):
     return metrics.result_json(metrics.evaluate(views.eval_rows(spark, folder), ["lang"], metrics=["bleu", "chrf_pp"]))
 
 
+_CHARS = views.sql(views.EVAL) + r""", tok AS (SELECT sample_id, lang AS grp,
+  CASE WHEN hypothesis <> '' THEN string_split(regexp_replace(hypothesis, '\s+', '', 'g'), '') ELSE [] END AS h,
+  CASE WHEN reference <> '' THEN string_split(regexp_replace(reference, '\s+', '', 'g'), '') ELSE [] END AS r FROM v_eval)
+, len AS (SELECT sample_id, grp, len(h) AS hl, len(r) AS rl FROM tok)""" + _grams("b", "tok", 4, " ") + """, l AS (SELECT grp, sum(hl) AS hl, sum(rl) AS rl FROM len GROUP BY 1)
+, s AS (SELECT grp, n, 100.0 * sum(m) / sum(h) AS p FROM b_m GROUP BY ALL)
+"""
+
+
+@query(_CHARS + """SELECT grp AS lang, round(CASE WHEN hl < rl THEN exp(1 - rl / hl) ELSE 1 END * exp(sum(ln(p)) / 4), 6) AS sp_bleu
+FROM s JOIN l USING (grp) GROUP BY grp, hl, rl""")
+def spm_bleu_by_lang(spark, folder):
+    """BLEU over user tokens, here the characters of every word."""
+    pieces = translate.tokenizer(lambda text: [c for word in text.split() for c in word])
+    return rounded(metrics.spm_bleu(views.eval_rows(spark, folder), pieces, ["lang"])).drop("chrf_pp")
+
+
 @query()
 def spm_bleu(spark, folder):
     """BLEU over user tokens: here the characters of every word."""
@@ -373,9 +389,16 @@ def post_edit_examples(spark, folder):
     return rounded(qe.post_edit_examples(qe.generate_feedback(_rows(spark, folder))).select("sample_id", "overall_score"))
 
 
-@query()
+_SEVERITIES = ", ".join(f"{c}_severity" for c in config.SUGGEST_BY_CATEGORY)
+
+
+@query(_QE + f"""SELECT source, translation AS hypothesis, reference, round(overall, 6) AS score, array_to_string({_SUGGEST}, '; ') AS feedback,
+  CASE WHEN list_contains([{_SEVERITIES}], 'critical') THEN 'critical' WHEN list_contains([{_SEVERITIES}], 'major') THEN 'major' ELSE 'minor' END AS severity,
+  CASE quality_class WHEN 'good' THEN 1 WHEN 'acceptable' THEN 3 ELSE 4 END AS edit_effort, round(overall, 9) < 0.6 AS needs_pe,
+  array_to_string(error_types, ',') AS error_types FROM q4""")
 def qe_report(spark, folder):
-    return rounded(qe.report_table(qe.generate_feedback(_rows(spark, folder))))
+    report = rounded(qe.report_table(qe.generate_feedback(_rows(spark, folder))))
+    return report.withColumn("error_types", F.array_join("error_types", ","))
 
 
 @query()

@@ -61,16 +61,20 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deals a small table out over all task slots before work that is heavy per row.
-
-    Small means: fewer files than slots and fewer bytes than would fill the slots with splits.
-    Any other table is left alone, so at scale nothing is moved.
-    """
+def is_small(df: DataFrame) -> bool:
+    """True for a file table with fewer files than task slots and too few bytes to fill the slots."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     files = df.inputFiles()
     if not 0 < len(files) < slots:
-        return df
+        return False
     # only the file lengths are read
     sizes = df.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length"))
-    return df.repartition(slots) if sizes.first()[0] < slots * SPLIT_BYTES else df
+    return sizes.first()[0] < slots * SPLIT_BYTES
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deals a small table out over all task slots before work that is heavy per row.
+
+    Any other table is left alone, so at scale nothing is moved.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if is_small(df) else df
