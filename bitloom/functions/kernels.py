@@ -144,19 +144,25 @@ class _Beam:
         return np.where((j >= 0) & (j <= len(self.ref)), j, _FAR)
 
     def forward(self, hyp: np.ndarray):
-        """Fills ``front``; one hypothesis word per step, so plain slices do."""
-        front = np.full((self.n + 1, self.width + self.pad + 1), _FAR)
-        front[0] = self.first_row()
-        last = len(self.ref) + 1
-        for i, (word, base, step) in enumerate(zip(hyp, self.base[1:], self.step[1:]), 1):
-            previous, at = front[i - 1], base - 1 + self.low
-            cost = previous[step:step + self.width] + (self.ref_at[at:at + self.width] != word)
-            np.minimum(cost, previous[step + 1:step + 1 + self.width] + 1, out=cost)
-            low, high = max(-base, 0), min(last - base, self.width)
-            k = self.k[low:high]
-            front[i, low + 1:high + 1] = np.minimum.accumulate(cost[low:high] - k) + k
-        self.front = front
-        return int(front[self.n][len(self.ref) - self.base[self.n] + 1])
+        """Fills ``front``; one hypothesis word per step, so plain slices do.
+
+        Works on cost minus reference position: skipping a reference word is then free of
+        arithmetic and a running minimum.
+        """
+        width, last = self.width, len(self.ref) + 1
+        places = self.base[:, None] - 1 + np.arange(width + self.pad + 1)
+        low_cost = np.full(places.shape, _FAR)
+        low_cost[0] = self.first_row() - places[0]
+        low_cost[0][(places[0] < 0) | (places[0] >= last)] = _FAR
+        for i, (word, base, step) in enumerate(
+                zip(hyp.tolist(), self.base[1:].tolist(), self.step[1:].tolist()), 1):
+            previous, at = low_cost[i - 1], base - 1 + self.low
+            cost = previous[step:step + width] - (self.ref_at[at:at + width] == word)
+            np.minimum(cost, previous[step + 1:step + 1 + width] + 1, out=cost)
+            low, high = max(-base, 0), min(last - base, width)
+            np.minimum.accumulate(cost[low:high], out=low_cost[i, low + 1:high + 1])
+        self.front = np.where(low_cost < _FAR // 2, low_cost + places, _FAR)
+        return int(self.front[self.n][len(self.ref) - self.base[self.n] + 1])
 
     def backward(self, hyp: np.ndarray):
         j, valid = self._cells(np.array(self.n))

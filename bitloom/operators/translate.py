@@ -40,7 +40,7 @@ def _one_by_one(fn: Callable[[str], str], retries: int, pause: float):
         for batch in batches:
             rows = [(None, None, 0.0) if t is None else call(t) for t in batch]
             yield pd.DataFrame(rows, columns=_CALL.names)
-    return udf
+    return udf.asNondeterministic()  # never called once more for a filter on its result
 
 
 def _batch_at_once(fn: Callable[[list[str]], list[str]]):
@@ -54,7 +54,7 @@ def _batch_at_once(fn: Callable[[list[str]], list[str]]):
                 output, error = [None] * len(batch), str(exc)
             share = (time.time() - start) / max(len(batch), 1)
             yield pd.DataFrame({"output": output, "error": error, "seconds": share})
-    return udf
+    return udf.asNondeterministic()  # never called once more for a filter on its result
 
 
 def _guarded(df: DataFrame, column: str, max_length: int) -> DataFrame:
@@ -114,7 +114,7 @@ def add_scores(df: DataFrame, scorer: Callable[[list[tuple]], list[float]], inpu
     def udf(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
             yield pd.Series(list(scorer(list(zip(*columns)))), dtype="float64")
-    return df.withColumn(name, udf(*inputs))
+    return df.withColumn(name, udf.asNondeterministic()(*inputs))
 
 
 def tokenizer(encode: Callable[[str], list[str]]) -> Callable[[Column], Column]:

@@ -62,6 +62,8 @@ def read_lines(spark: SparkSession, path: str | list[str], strip_file: bool = Fa
         return numbered
     filled = numbered.where(F.col("text") != "").groupBy("file").agg(
         F.min("line_no").alias("_lo"), F.max("line_no").alias("_hi"))
+    if len(numbered.inputFiles()) <= BROADCAST_ROWS:
+        filled = F.broadcast(filled)  # one row per file
     inside = numbered.join(filled, "file").where(F.col("line_no").between(F.col("_lo"), F.col("_hi")))
     return inside.select("file", (F.col("line_no") - F.col("_lo")).alias("line_no"), "text")
 
