@@ -131,9 +131,7 @@ def ter_sentence(spark, folder):
 
 @query()
 def evaluation_by_lang(spark, folder):
-    rows = views.eval_rows(spark, folder)
-    scored = rows.join(views.scores(spark, folder).drop("row_idx"), "sample_id")
-    return rounded(metrics.evaluate(scored, ["lang"]))
+    return rounded(metrics.evaluate(views.with_scores(views.eval_rows(spark, folder)), ["lang"]))
 
 
 @query()

@@ -142,7 +142,30 @@ def term_protect(spark, folder):
                        protect.restore(F.col("p.text"), F.col("p.tokens")).alias("restored"))
 
 
-@query()
+def _first_replaced(text: str, found: str, token: str) -> str:
+    at = f"strpos({text}, {found})"
+    return f"left({text}, {at} - 1) || {token} || substr({text}, {at} + length({found}))"
+
+
+def _preprocess_sql() -> str:
+    """Ordered fold over the distinct placeholders of the first and third pattern (the texts hold no
+    other ones); at most two numbers and three percent forms can be distinct."""
+    ordered = "list_filter({0}, lambda x, i: list_position({0}, x) = i)"
+    steps = [r""", n0 AS (SELECT sample_id, replace(source, '™', 'TM') AS t FROM v_decorated)
+, n1 AS (SELECT *, t AS s0, regexp_extract_all(t, '\{\d+\}') AS a FROM n0)
+, n2 AS (SELECT *, """ + ordered.format("a") + " AS d FROM n1)"]
+    for j in (1, 2):
+        steps.append(f""", n{2 + j} AS (SELECT *, CASE WHEN len(d) >= {j} THEN {_first_replaced(f's{j - 1}', f'd[{j}]', f"'__PLACEHOLDER_NUM_{j - 1}__'")} ELSE s{j - 1} END AS s{j} FROM n{1 + j})""")
+    steps.append(", m0 AS (SELECT *, s2 AS q0, regexp_extract_all(s2, '%[sd%]') AS b FROM n4)")
+    steps.append(", m1 AS (SELECT *, " + ordered.format("b") + " AS e FROM m0)")
+    for j in (1, 2, 3):
+        token = f"'__PERCENT_' || (len(d) + {j - 1}) || '__'"
+        steps.append(f""", m{1 + j} AS (SELECT *, CASE WHEN len(e) >= {j} THEN {_first_replaced(f'q{j - 1}', f'e[{j}]', token)} ELSE q{j - 1} END AS q{j} FROM m{j})""")
+    clean = lambda c: _PUNCT.format(_WS.format(c))
+    return "\n".join(steps) + f"\nSELECT sample_id, {clean('q3')} AS text, {clean('t')} AS restored FROM m4"
+
+
+@query(views.sql(views.DECORATED) + _preprocess_sql())
 def preprocess_full(spark, folder):
     held = views.decorated(spark, folder).select("sample_id", protect.preprocess(F.col("source")).alias("p"))
     return held.select("sample_id", "p.text", protect.postprocess(F.col("p.text"), F.col("p.tokens")).alias("restored"))

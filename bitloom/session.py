@@ -20,8 +20,9 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-# Largest row count of a side that may be broadcast. Beyond it the operators shuffle instead.
+# Largest side that may be broadcast. Beyond it the operators shuffle instead.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 # Default size of a file split.
 SPLIT_BYTES = 128 << 20
 
@@ -51,14 +52,17 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when the frame has at most ``limit`` rows; reads no more than ``limit + 1`` of them."""
-    return df.limit(limit + 1).count() <= limit
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True when the frame has at most ``rows`` rows and ``size`` bytes of text.
 
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose row count was checked."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+    Reads no more than ``rows + 1`` rows.
+    """
+    text = F.lit(0)
+    for field in df.schema.fields:
+        if field.dataType.typeName() == "string":
+            text = text + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+    n, length = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(text)).first()
+    return n <= rows and (length or 0) <= size
 
 
 def is_small(df: DataFrame) -> bool:

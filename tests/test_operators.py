@@ -5,7 +5,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from bitloom import config
+from bitloom import config, session
 from bitloom.operators import augment, features, filters, glossary, quantiles, ranks, split, stats, store, translate
 
 PAIRS = "sample_id string, row_idx long, source string, target string"
@@ -108,6 +108,12 @@ def test_glossary(spark, monkeypatch):
     assert merged["app"] == "toepassing" and merged["boom"] == "tree" and len(merged) == 41
 
 
+def test_broadcast_check(spark):
+    df = spark.range(10).select(F.repeat(F.lit("x"), F.lit(100)).alias("t"))
+    assert session.fits_broadcast(df) and not session.fits_broadcast(df, rows=9)
+    assert not session.fits_broadcast(df, size=999) and session.fits_broadcast(df, size=1000)
+
+
 def test_fallback_words(column):
     assert column(glossary.fallback_translation, "My Phone  SETTINGS", "PC", "") == ["my telefoon instellingen", "pc", ""]
 
