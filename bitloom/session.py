@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,19 +42,50 @@ def build_session(app: str = "bitloom", master: str | None = None, **conf: str)
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder below the shared checkpoint folder the cluster names.
-
-    Only a local session without ``spark.checkpoint.dir`` (tests) gets a temporary folder.
-    """
+    """A fresh folder below the shared checkpoint folder the cluster names."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="bitloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def prepare_session(spark: SparkSession) -> None:
+    """Settings the results rely on, for a session that ``build_session`` did not make.
+
+    A session in one process without ``spark.checkpoint.dir`` (tests, benches) gets a folder below its
+    warehouse; a cluster has to name one.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", DEFAULTS["spark.sql.execution.arrow.maxRecordsPerBatch"])
+    if not spark.conf.get("spark.checkpoint.dir", None) and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        spark.conf.set("spark.checkpoint.dir", f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")
+    ship_package(spark)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's source to executors that may lack it, once per application.
+
+    The zip is read by the driver alone; Spark's own file server hands it to the executors.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped or re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="bitloom-source-"), "bitloom.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """True when the frame has at most ``rows`` rows and ``size`` bytes of text.
 
