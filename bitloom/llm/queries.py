@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from bitloom.llm import exact, secret_scan, url_filter
+import public_tokenizers
+
+from bitloom.llm import bpe, exact, secret_scan, url_filter
 from bitloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -50,3 +52,9 @@ def op9_exact_dedup(spark, folder):
 @query()
 def op10_secret_scan(spark, folder):
     return secret_scan.report(table(spark, folder, "documents"))
+
+
+@query()
+def op5_byte_bpe(spark, folder):
+    return bpe.report(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                      public_tokenizers.PATTERN)
