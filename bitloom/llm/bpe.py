@@ -156,14 +156,14 @@ def replay(words: list[bytes], table: Ranks) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=4)
-def _plain(pattern: str) -> re.Pattern | None:
+def plain_pattern(pattern: str) -> re.Pattern | None:
     """The pattern for the standard library, which is faster; it has no \\p classes. Equal on ordinary text."""
     plain = (pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)")
              .replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d"))
     return None if r"\p" in plain else re.compile(plain)
 
 
-def _ordinary(texts: list[str]) -> bool:
+def ordinary(texts: list[str]) -> bool:
     """No character that the two libraries class differently: numbers that are no digits, separators."""
     odd = {c for c in set().union(*texts) if "\x1c" <= c <= "\x1f" or c.isnumeric() and not (c.isalpha() or c.isdecimal())}
     return not odd
@@ -171,7 +171,7 @@ def _ordinary(texts: list[str]) -> bool:
 
 def encode_block(texts: list[str], table: Ranks, pattern: regex.Pattern) -> list[np.ndarray]:
     """Ids of each text. A word that is itself a token is that token."""
-    find = (_plain(pattern.pattern) if _ordinary(texts) else None) or pattern
+    find = (plain_pattern(pattern.pattern) if ordinary(texts) else None) or pattern
     cut = [find.findall(t) for t in texts]
     place: dict[str, int] = defaultdict(count().__next__)
     used = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), dtype=np.int64)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bitloom.llm import bpe, exact, secret_scan, url_filter
+from bitloom.llm import bpe, exact, packing, secret_scan, url_filter
 from bitloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -58,3 +58,8 @@ def op10_secret_scan(spark, folder):
 def op5_byte_bpe(spark, folder):
     return bpe.report(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                       public_tokenizers.PATTERN)
+
+
+@query()
+def op1_packing(spark, folder):
+    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
