@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bitloom.llm import bpe, exact, packing, secret_scan, url_filter
+from bitloom.llm import bpe, exact, packing, secret_scan, spotsigs, url_filter
 from bitloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -63,3 +63,8 @@ def op5_byte_bpe(spark, folder):
 @query()
 def op1_packing(spark, folder):
     return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op3_spotsigs(spark, folder):
+    return spotsigs.report(table(spark, folder, "documents"))
