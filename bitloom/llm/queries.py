@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bitloom.llm import bpe, exact, packing, secret_scan, spotsigs, url_filter
+from bitloom.llm import bpe, exact, html_text, packing, secret_scan, spotsigs, url_filter
 from bitloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -68,3 +68,8 @@ def op1_packing(spark, folder):
 @query()
 def op3_spotsigs(spark, folder):
     return spotsigs.report(table(spark, folder, "documents"))
+
+
+@query()
+def op4_html_text(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
