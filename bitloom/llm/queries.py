@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bitloom.llm import bpe, exact, html_text, packing, secret_scan, spotsigs, url_filter
+from bitloom.llm import bpe, exact, html_text, packing, quality, secret_scan, shingle_join, spotsigs, url_filter
 from bitloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -73,3 +73,13 @@ def op3_spotsigs(spark, folder):
 @query()
 def op4_html_text(spark, folder):
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query()
+def op6_shingle_join(spark, folder):
+    return shingle_join.classes(table(spark, folder, "documents"))
+
+
+@query()
+def op7_quality(spark, folder):
+    return quality.report(table(spark, folder, "documents"))
