@@ -4,7 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bitloom.llm import bpe, exact, html_text, packing, quality, secret_scan, shingle_join, spotsigs, url_filter
+from bitloom.llm import (
+    bpe,
+    exact,
+    html_text,
+    packing,
+    quality,
+    secret_scan,
+    shingle_join,
+    spotsigs,
+    suffix_dedup,
+    url_filter,
+)
 from bitloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -83,3 +94,8 @@ def op6_shingle_join(spark, folder):
 @query()
 def op7_quality(spark, folder):
     return quality.report(table(spark, folder, "documents"))
+
+
+@query()
+def op2_suffix_dedup(spark, folder):
+    return suffix_dedup.report(table(spark, folder, "documents"))

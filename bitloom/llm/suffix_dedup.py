@@ -13,8 +13,8 @@ other; an id with several texts keeps its rows apart. Only the input decides, no
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from bitloom.llm.bpe import ragged
 from bitloom.llm.common import salts, whole_text
 
 WIDTH = 50
-KMER = 24
+KMER = 8
 BLOCK = 8 << 20
 _LAST = (1 << 63) - 1
 _TAG = 40  # bits below the tag that keeps texts of one id apart
@@ -35,24 +35,43 @@ _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 257, dtype=np.uint64) * n
 _COLUMNS = ("docs", "at", "size", "anchor", "segment", "text")
 
 
+@lru_cache(maxsize=1)
+def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        out = []
+        for base in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64))):
+            powers = np.full(length, base)
+            powers[0] = 1
+            out.append(np.cumprod(powers, dtype=np.uint64))
+        return tuple(out)
+
+
 class Hashes:
     """Hashes of any stretch of a byte array from sums of powers, modulo 2 ** 64."""
 
     def __init__(self, data: np.ndarray):
+        powers, self.inverse = _powers(1 << max(23, len(data).bit_length()))
         with np.errstate(over="ignore"):
-            powers = np.full(len(data) + 1, _BASE)
-            powers[0] = 1
-            self.powers = np.cumprod(powers, dtype=np.uint64)
-            self.sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTES[data] * self.powers[:-1], dtype=np.uint64)])
-            inverse = np.full(len(data) + 1, np.uint64(pow(int(_BASE), -1, 1 << 64)))
-            inverse[0] = 1
-            self.inverse = np.cumprod(inverse, dtype=np.uint64)
+            self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum(_BYTES[data] * powers[:len(data)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return self._mixed(self.sums[end] - self.sums[start], self.inverse[start], (end - start).astype(np.uint64))
+
+    def all(self, width: int) -> np.ndarray:
+        """Of every stretch of one width."""
+        n = len(self.sums) - width
+        return self._mixed(self.sums[width:] - self.sums[:n], self.inverse[:n], np.uint64(width))
+
+    @staticmethod
+    def _mixed(sums: np.ndarray, inverse: np.ndarray, size) -> np.ndarray:
         with np.errstate(over="ignore"):
-            x = (self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64)
-            x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-            return x ^ (x >> np.uint64(29))
+            x = sums * inverse
+            x += size
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0x9E3779B97F4A7C15)
+            x ^= x >> np.uint64(29)
+            return x
 
 
 def window_low(values: np.ndarray, width: int) -> np.ndarray:
@@ -68,16 +87,22 @@ def segments(data: np.ndarray, edges: np.ndarray, width: int, kmer: int):
     hashes = Hashes(data)
     if len(data) < width:
         return hashes, *[np.zeros(0, dtype=np.int64)] * 4
-    at = np.arange(len(data) - kmer + 1)
-    mixed = (hashes.of(at, at + kmer) & ~np.uint64((1 << 24) - 1)) | at.astype(np.uint64)
-    anchor = (window_low(mixed, width - kmer + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
-    source = np.searchsorted(edges, np.arange(len(anchor)), side="right") - 1
-    inside = np.arange(len(anchor)) + width <= edges[source + 1]
-    start = np.flatnonzero(inside & np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (source[1:] != source[:-1])]))
-    last = np.concatenate([start[1:], [0]]) - 1
+    mixed = hashes.all(kmer)
+    mixed &= ~np.uint64((1 << 24) - 1)
+    mixed |= np.arange(len(mixed), dtype=np.uint64)
+    low = window_low(mixed, width - kmer + 1)
+    opens = np.concatenate([[True], low[1:] != low[:-1]])
+    sizes = np.diff(edges)
+    opens[edges[:-1][sizes >= width]] = True  # a text's first window
+    for back in range(1, width):  # windows that reach into the next text
+        cut = edges[1:] - back
+        opens[cut[(cut >= 0) & (cut < len(opens))]] = False
+    start = np.flatnonzero(opens)
+    source = np.repeat(np.arange(len(sizes)), sizes)[start]
+    anchor = (low[start] & np.uint64((1 << 24) - 1)).astype(np.int64)
+    last = np.append(start[1:], len(data)) - 1
     # a segment ends before the next one or with its text
-    last = np.minimum(np.where(last < 0, len(data), last), edges[source[start] + 1] - width)
-    return hashes, source[start], start, last + width, anchor[start]
+    return hashes, source, start, np.minimum(last, edges[source + 1] - width) + width, anchor
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -119,14 +144,16 @@ def _block(slices: list[tuple[int, int, bytes]], parts: int, width: int, kmer: i
         rows.append((passing, True, *map(_packed, (doc[head], at[head], at[tail] + end[tail] - start[tail] - at[head])), b"", b"", b""))
     part = (hashes.of(anchor, anchor + kmer) >> np.uint64(20)) % np.uint64(parts)
     held = np.flatnonzero(own)
-    held = held[np.lexsort((segment[held], part[held]))]
+    held = held[np.argsort(part[held].astype(np.int32), kind="stable")]
+    number = np.zeros(len(first), dtype=np.int32)
     for own in np.split(held, np.flatnonzero(np.diff(part[held])) + 1):
-        fresh = np.concatenate([[True], np.diff(segment[own]) > 0])
-        one = own[fresh]
+        one = own[first[segment[own]] == own]
+        number[segment[one]] = np.arange(len(one))
         text = data[ragged(start[one], end[one] - start[one])]
+        # in the order of places, so that differences are small
         rows.append((int(part[own[0]]), False, *map(_packed, (
-            doc[own], at[own], (end[one] - start[one]).astype(np.uint8), (anchor[one] - start[one]).astype(np.uint8),
-            (np.cumsum(fresh) - 1).astype(np.int32), text))))
+            np.diff(doc[own], prepend=0), np.diff(at[own], prepend=0), (end[one] - start[one]).astype(np.uint8),
+            (anchor[one] - start[one]).astype(np.uint8), np.diff(number[segment[own]], prepend=0).astype(np.int32), text))))
     return rows
 
 
@@ -213,14 +240,24 @@ def same_prefix(text: np.ndarray, order: np.ndarray, width: int) -> np.ndarray:
     return np.concatenate([[False], equal])
 
 
-def _shared(hashes: Hashes, from_: np.ndarray, to: np.ndarray, valid: np.ndarray) -> np.ndarray:
-    """Segments whose stretch occurs in another segment as well."""
-    out = np.zeros(len(valid), dtype=bool)
-    at = np.flatnonzero(valid)
-    if len(at):
-        _, place, n = np.unique(hashes.of(from_[at], to[at]), return_inverse=True, return_counts=True)
-        out[at] = n[place] > 1
-    return out
+def _contexts(text: np.ndarray, size: np.ndarray, anchor: np.ndarray, kmer: int, half: int):
+    """Hashes of each segment and of its left and right context, 0 where it does not reach so far."""
+    hashes = Hashes(text)
+    end = np.cumsum(size)
+    start = end - size
+    anchor = start + anchor
+    low, high = anchor - half, anchor + kmer + half
+    return (hashes.of(start, end), np.where(low >= start, hashes.of(np.maximum(low, start), anchor + kmer), 0),
+            np.where(high <= end, hashes.of(anchor, np.minimum(high, end)), 0))
+
+
+def _repeated(values: np.ndarray) -> np.ndarray:
+    order = np.argsort(values)
+    equal = np.diff(values[order]) == 0
+    out = np.zeros(len(values), dtype=bool)
+    out[order[1:]] = equal
+    out[order[:-1]] |= equal
+    return out & (values != 0)
 
 
 def removed_windows(texts: np.ndarray, start: np.ndarray, size: np.ndarray, doc: np.ndarray, width: int):
@@ -250,29 +287,29 @@ def _part(rows: list[tuple], width: int, kmer: int) -> Iterator[tuple[np.ndarray
     rows = [r for r in rows if not r[1]]
     if not rows:
         return
-    doc, at = (np.concatenate([_open(r[i], np.int64) for r in rows]) for i in (2, 3))
-    sizes = [_open(r[4], np.uint8) for r in rows]
+    doc, at = (np.concatenate([np.cumsum(_open(r[i], np.int64)) for r in rows]) for i in (2, 3))
+    sizes = [_open(r[4], np.uint8).astype(np.int64) for r in rows]
+    anchors = [_open(r[5], np.uint8).astype(np.int64) for r in rows]
+    texts = [_open(r[7], np.uint8) for r in rows]
     before = np.cumsum([0] + [len(s) for s in sizes])
-    segment = np.concatenate([_open(r[6], np.int32) + b for r, b in zip(rows, before)])
-    size, anchor = np.concatenate(sizes).astype(np.int64), np.concatenate([_open(r[5], np.uint8) for r in rows]).astype(np.int64)
-    data = np.concatenate([_open(r[7], np.uint8) for r in rows])
-    start = np.cumsum(size) - size
-    hashes = Hashes(data)
+    segment = np.concatenate([np.cumsum(_open(r[6], np.int32)) + b for r, b in zip(rows, before)])
+    # the minimizer with half of a window's other bytes on its left, and on its right
+    half = (width - kmer) // 2
+    whole, left, right = map(np.concatenate, zip(*(_contexts(*x, kmer, half) for x in zip(texts, sizes, anchors))))
     # equal segments of several blocks are one
-    _, first, same = np.unique(hashes.of(start, start + size), return_index=True, return_inverse=True)
-    start, size, anchor, segment = start[first], size[first], start[first] + anchor[first], same[segment]
+    _, first, same = np.unique(whole, return_index=True, return_inverse=True)
+    size = np.concatenate(sizes)
+    start, size, segment = (np.cumsum(size) - size)[first], size[first], same[segment]
     least = np.full(len(first), _LAST)
     np.minimum.at(least, segment, doc)
     later = doc > least[segment]
     yield doc[later], at[later], at[later] + size[segment[later]]
-    # two segments share a window only if they share the minimizer with half of the window's other bytes on a side
-    half = (width - kmer) // 2
-    some = (_shared(hashes, anchor - half, anchor + kmer, anchor - half >= start)
-            | _shared(hashes, anchor, anchor + kmer + half, anchor + kmer + half <= start + size))
+    # two segments that share a window share the left or the right context
+    some = _repeated(left[first]) | _repeated(right[first])
     pick = np.flatnonzero(some)
     if not len(pick):
         return
-    piece, offset = removed_windows(data, start[pick], size[pick], least[pick], width)
+    piece, offset = removed_windows(np.concatenate(texts), start[pick], size[pick], least[pick], width)
     if not len(piece):
         return
     opens = np.concatenate([[True], (np.diff(piece) > 0) | (np.diff(offset) > 1)])
