@@ -26,8 +26,8 @@ from bitloom.llm.bpe import ragged
 from bitloom.llm.common import salts, whole_text
 
 WIDTH = 50
-KMER = 8
-BLOCK = 8 << 20
+KMER = 6
+BLOCK = 4 << 20
 _LAST = (1 << 63) - 1
 _TAG = 40  # bits below the tag that keeps texts of one id apart
 _BASE = np.uint64(0xD1342543DE82EF95)
@@ -50,7 +50,7 @@ class Hashes:
     """Hashes of any stretch of a byte array from sums of powers, modulo 2 ** 64."""
 
     def __init__(self, data: np.ndarray):
-        powers, self.inverse = _powers(1 << max(23, len(data).bit_length()))
+        powers, self.inverse = _powers(1 << max(22, len(data).bit_length()))
         with np.errstate(over="ignore"):
             self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
             np.cumsum(_BYTES[data] * powers[:len(data)], out=self.sums[1:])
@@ -106,7 +106,7 @@ def segments(data: np.ndarray, edges: np.ndarray, width: int, kmer: int):
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zstandard.compress(values.tobytes(), 1)
+    return zstandard.compress(values.tobytes(), 3)
 
 
 def _open(raw: bytes, kind) -> np.ndarray:
@@ -375,7 +375,7 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, kmer: int = KMER) -> DataF
         rows = rows.join(several.withColumn("several", F.lit(True)), "key", "left")
         tag = F.when(F.col("several"), F.pmod(F.xxhash64("text"), F.lit(1 << 22))).otherwise(0)
     rows = rows.select("doc_id", "key", tag.cast("long").alias("tag"), "text")
-    parts = 2 * salts(docs)
+    parts = salts(docs)
     sent = rows.select("key", "tag", "text").mapInArrow(
         _block_rows(parts, width, kmer), "part int, done boolean, " + ", ".join(f"{c} binary" for c in _COLUMNS))
     found = (sent.repartition(parts, "part").sortWithinPartitions("part")
