@@ -27,7 +27,7 @@ from bitloom.llm.common import salts, whole_text
 
 WIDTH = 50
 KMER = 6
-BLOCK = 4 << 20
+BLOCK = 3 << 20
 _LAST = (1 << 63) - 1
 _TAG = 40  # bits below the tag that keeps texts of one id apart
 _BASE = np.uint64(0xD1342543DE82EF95)
@@ -375,7 +375,7 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, kmer: int = KMER) -> DataF
         rows = rows.join(several.withColumn("several", F.lit(True)), "key", "left")
         tag = F.when(F.col("several"), F.pmod(F.xxhash64("text"), F.lit(1 << 22))).otherwise(0)
     rows = rows.select("doc_id", "key", tag.cast("long").alias("tag"), "text")
-    parts = salts(docs)
+    parts = 2 * salts(docs)
     sent = rows.select("key", "tag", "text").mapInArrow(
         _block_rows(parts, width, kmer), "part int, done boolean, " + ", ".join(f"{c} binary" for c in _COLUMNS))
     found = (sent.repartition(parts, "part").sortWithinPartitions("part")
