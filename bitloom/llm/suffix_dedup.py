@@ -27,7 +27,8 @@ from bitloom.llm.common import salts, whole_text
 
 WIDTH = 50
 KMER = 6
-BLOCK = 3 << 20
+BLOCK = 4 << 20
+STEP = 1 << 19
 _LAST = (1 << 63) - 1
 _TAG = 40  # bits below the tag that keeps texts of one id apart
 _BASE = np.uint64(0xD1342543DE82EF95)
@@ -35,7 +36,7 @@ _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 257, dtype=np.uint64) * n
 _COLUMNS = ("docs", "at", "size", "anchor", "segment", "text")
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=2)
 def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         out = []
@@ -50,7 +51,7 @@ class Hashes:
     """Hashes of any stretch of a byte array from sums of powers, modulo 2 ** 64."""
 
     def __init__(self, data: np.ndarray):
-        powers, self.inverse = _powers(1 << max(22, len(data).bit_length()))
+        powers, self.inverse = _powers(1 << max(20, len(data).bit_length()))
         with np.errstate(over="ignore"):
             self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
             np.cumsum(_BYTES[data] * powers[:len(data)], out=self.sums[1:])
@@ -117,8 +118,16 @@ def _slices(keys: list[int], tags: list[int], texts: list[str], width: int) -> I
     """(key, first byte, bytes): texts in slices of bounded size; every window lies in exactly one."""
     for key, tag, text in zip(keys, tags, texts):
         raw = text.encode()
-        for start in range(0, max(1, len(raw) - width + 1), BLOCK // 2):
-            yield key, (tag << _TAG) + start, raw[start:start + BLOCK // 2 + width - 1]
+        for start in range(0, max(1, len(raw) - width + 1), STEP):
+            yield key, (tag << _TAG) + start, raw[start:start + STEP + width - 1]
+
+
+def _segment_rows(data: np.ndarray, edges: np.ndarray, i: int, j: int, parts: int, width: int, kmer: int):
+    """Source, start, end, anchor, hash and part of the segments of the texts i to j - 1."""
+    base = edges[i]
+    hashes, source, start, end, anchor = segments(data[base:edges[j]], edges[i:j + 1] - base, width, kmer)
+    part = ((hashes.of(anchor, anchor + kmer) >> np.uint64(20)) % np.uint64(parts)).astype(np.int32)
+    return source + i, start + base, end + base, anchor + base, hashes.of(start, end), part
 
 
 def _block(slices: list[tuple[int, int, bytes]], parts: int, width: int, kmer: int, passing: int) -> list[tuple]:
@@ -128,12 +137,15 @@ def _block(slices: list[tuple[int, int, bytes]], parts: int, width: int, kmer: i
     data = np.frombuffer(b"".join(s[2] for s in slices), dtype=np.uint8)
     edges = np.concatenate([[0], np.cumsum([len(s[2]) for s in slices])])
     keys, firsts = np.array([s[0] for s in slices]), np.array([s[1] for s in slices])
-    hashes, source, start, end, anchor = segments(data, edges, width, kmer)
+    # a few texts at a time: the hashes of every place take many times the text's memory
+    steps = np.unique(np.append(np.searchsorted(edges, np.arange(0, len(data), STEP)), len(slices)))
+    found = [_segment_rows(data, edges, i, j, parts, width, kmer) for i, j in zip(steps[:-1], steps[1:])]
+    source, start, end, anchor, whole, part = map(np.concatenate, zip(*found)) if found else [np.zeros(0, np.int64)] * 6
     if not len(start):
         return []
     doc, at = keys[source], firsts[source] + start - edges[source]
     # the texts are in the order of their ids, so the first place of a segment is in its smallest document
-    _, first, segment = np.unique(hashes.of(start, end), return_index=True, return_inverse=True)
+    _, first, segment = np.unique(whole, return_index=True, return_inverse=True)
     own = doc == doc[first[segment]]
     rows = []
     gone = np.flatnonzero(~own)
@@ -142,9 +154,8 @@ def _block(slices: list[tuple[int, int, bytes]], parts: int, width: int, kmer: i
         closes = np.concatenate([opens[1:], [True]])
         head, tail = gone[opens], gone[closes]
         rows.append((passing, True, *map(_packed, (doc[head], at[head], at[tail] + end[tail] - start[tail] - at[head])), b"", b"", b""))
-    part = (hashes.of(anchor, anchor + kmer) >> np.uint64(20)) % np.uint64(parts)
     held = np.flatnonzero(own)
-    held = held[np.argsort(part[held].astype(np.int32), kind="stable")]
+    held = held[np.argsort(part[held], kind="stable")]
     number = np.zeros(len(first), dtype=np.int32)
     for own in np.split(held, np.flatnonzero(np.diff(part[held])) + 1):
         one = own[first[segment[own]] == own]
