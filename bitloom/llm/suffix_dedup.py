@@ -29,6 +29,7 @@ WIDTH = 50
 KMER = 6
 BLOCK = 4 << 20
 STEP = 1 << 19
+SORTED = 1 << 20
 _LAST = (1 << 63) - 1
 _TAG = 40  # bits below the tag that keeps texts of one id apart
 _BASE = np.uint64(0xD1342543DE82EF95)
@@ -252,14 +253,14 @@ def same_prefix(text: np.ndarray, order: np.ndarray, width: int) -> np.ndarray:
 
 
 def _contexts(text: np.ndarray, size: np.ndarray, anchor: np.ndarray, kmer: int, half: int):
-    """Hashes of each segment and of its left and right context, 0 where it does not reach so far."""
+    """Hashes of each segment, of its left and right context (0 where it does not reach so far) and minimizer."""
     hashes = Hashes(text)
     end = np.cumsum(size)
     start = end - size
     anchor = start + anchor
     low, high = anchor - half, anchor + kmer + half
     return (hashes.of(start, end), np.where(low >= start, hashes.of(np.maximum(low, start), anchor + kmer), 0),
-            np.where(high <= end, hashes.of(anchor, np.minimum(high, end)), 0))
+            np.where(high <= end, hashes.of(anchor, np.minimum(high, end)), 0), hashes.of(anchor, anchor + kmer))
 
 
 def _repeated(values: np.ndarray) -> np.ndarray:
@@ -306,7 +307,7 @@ def _part(rows: list[tuple], width: int, kmer: int) -> Iterator[tuple[np.ndarray
     segment = np.concatenate([np.cumsum(_open(r[6], np.int32)) + b for r, b in zip(rows, before)])
     # the minimizer with half of a window's other bytes on its left, and on its right
     half = (width - kmer) // 2
-    whole, left, right = map(np.concatenate, zip(*(_contexts(*x, kmer, half) for x in zip(texts, sizes, anchors))))
+    whole, left, right, mini = map(np.concatenate, zip(*(_contexts(*x, kmer, half) for x in zip(texts, sizes, anchors))))
     # equal segments of several blocks are one
     _, first, same = np.unique(whole, return_index=True, return_inverse=True)
     size = np.concatenate(sizes)
@@ -318,15 +319,24 @@ def _part(rows: list[tuple], width: int, kmer: int) -> Iterator[tuple[np.ndarray
     # two segments that share a window share the left or the right context
     some = _repeated(left[first]) | _repeated(right[first])
     pick = np.flatnonzero(some)
-    if not len(pick):
-        return
-    piece, offset = removed_windows(np.concatenate(texts), start[pick], size[pick], least[pick], width)
+    data = np.concatenate(texts)
+    # segments with the same minimizer are sorted together, about SORTED symbols at a time
+    turns = int(size[pick].sum() // SORTED) + 1
+    turn = (mini[first][pick] >> np.uint64(40)) % np.uint64(turns)
+    for k in range(turns):
+        own = pick[turn == k]
+        if len(own):
+            yield from _stretches(own, *removed_windows(data, start[own], size[own], least[own], width), width,
+                                  segment, doc, at, later)
+
+
+def _stretches(own, piece, offset, width, segment, doc, at, later):
+    """(doc, start, end) of removed windows, at every place of their segments in the smallest document."""
     if not len(piece):
         return
     opens = np.concatenate([[True], (np.diff(piece) > 0) | (np.diff(offset) > 1)])
     closes = np.concatenate([opens[1:], [True]])
-    piece, low, high = pick[piece[opens]], offset[opens], offset[closes] + width
-    # every place of these segments in their smallest document
+    piece, low, high = own[piece[opens]], offset[opens], offset[closes] + width
     place = np.flatnonzero(~later & np.isin(segment, piece))
     place = place[np.argsort(segment[place], kind="stable")]
     from_, to = np.searchsorted(segment[place], piece), np.searchsorted(segment[place], piece, side="right")
