@@ -119,6 +119,8 @@ def fit_labellers(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str
     says nothing about the class, so short texts are not held to be bad for their few votes.
     """
     names = list(patterns)
+    if not names:
+        return {}, np.full((2, len(LABELLERS), 2), 0.5)
     n = np.array([patterns[p] for p in names], dtype=float)
     vote = np.array([["-0+".index(c) for c in p] for p in names], dtype=int).reshape(len(names), -1)
     posterior = np.clip((vote - 1).sum(axis=1) / max(1, vote.shape[1]) / 2 + 0.5, 0.05, 0.95)

@@ -145,7 +145,7 @@ def _tagged(found: Column, rank: int, kind: str) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> DataFrame:
-    """The documents with ``spans``: array of (start, rank, end, kind), sorted by start, then rule."""
+    """The documents with ``__spans``: array of (start, rank, end, kind), sorted by start, then rule."""
     indexed = tuple(r for r in rules if trigram_query(r.pattern))
     found = candidates(docs, indexed).withColumnsRenamed({"doc_id": "__id", "kinds": "__kinds"})
     joined = docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left")
@@ -156,7 +156,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) ->
         if rule in indexed:
             got = F.when(F.array_contains("__kinds", rule.kind), got).otherwise(none)
         parts.append(_tagged(got, rank, rule.kind))
-    return joined.withColumn("spans", F.sort_array(F.concat(*parts))).drop("__id", "__kinds")
+    return joined.withColumn("__spans", F.sort_array(F.concat(*parts))).drop("__id", "__kinds")
 
 
 def joined_spans(found: Column) -> Column:
@@ -179,9 +179,9 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES,
                         F.when(fresh, F.concat(acc["out"], piece, F.lit(mark))).otherwise(acc["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", start, cut, lambda acc: F.concat(
+    clean = F.aggregate("__spans", start, cut, lambda acc: F.concat(
         acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    out = found.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(text)).drop("spans")
+    out = found.withColumn("text", F.when(F.size("__spans") > 0, clean).otherwise(text))
     if "n_chars" in docs.columns:
         changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(changed))
@@ -192,8 +192,8 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -
     """Counts and spans of every document; the digest covers the base rules."""
     base = [r.kind for r in BASE_RULES]
     found = scan(docs.select("doc_id", "text"), rules)
-    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    count = lambda kind: F.size(F.filter("__spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in base],
-        F.sha2(joined_spans(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
-        joined_spans(F.col("spans")).alias("spans"))
+        F.sha2(joined_spans(F.filter("__spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        joined_spans(F.col("__spans")).alias("spans"))
