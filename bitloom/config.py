@@ -40,11 +40,10 @@ BRAND_TOKENS = [
 ]
 
 # --- Fixed values: terms whose presence flags a text as technical (lower-cased substrings). -----
-# Entries that contain another entry cannot change the flag and are left out.
 DOMAIN_FLAG_TERMS = [
-    "usb", "hdmi", "bluetooth", "wi-fi", "wifi", "ptt", "lpddr5", "ufs", "turbopower",
+    "usb", "usb-c", "hdmi", "bluetooth", "wi-fi", "wifi", "ptt", "lpddr5", "ufs", "turbopower",
     "ready for", "emm", "pc", "ai", "ml", "nlp", "api", "sdk", "android", "ios", "windows",
-    "linux", "macos", "chrome", "firefox", "safari", "edge", "moto", "verizon", "google",
+    "linux", "macos", "chrome", "firefox", "safari", "edge", "motorola", "moto", "verizon", "google",
     "samsung",
 ]
 
@@ -59,7 +58,7 @@ FEATURE_TERMS = [
 ]
 
 # --- Fixed values: brand flag of feature extraction (case-sensitive substrings) -----------------
-FEATURE_BRANDS = ["TurboPower", "Ready For", "Moto"]
+FEATURE_BRANDS = ["TurboPower", "Ready For", "Moto", "Motorola"]
 
 # --- Fixed values: word stems of the dataset statistics -----------------------------------------
 DOMAIN_STEMS = ["usb", "bluetooth", "wifi", "app", "phone", "display", "battery"]
@@ -102,11 +101,10 @@ GLOSSARY_EN_NL = {
 }
 
 # --- Fixed values: word dictionary of the fallback translation ----------------------------------
-# The upper-case key never matches the lower-cased input and is left out.
 FALLBACK_WORDS = {
     "settings": "instellingen", "device": "apparaat", "battery": "accu", "display": "display",
     "notification": "melding", "app": "app", "phone": "telefoon", "tablet": "tablet",
-    "update": "update",
+    "PC": "pc", "update": "update",
 }
 FALLBACK_TEXT = "[Translation unavailable]"
 

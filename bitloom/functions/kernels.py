@@ -1,12 +1,11 @@
-"""Arrow kernels for the three per-row computations Spark has no expression for.
+"""Arrow kernels for the two per-row computations Spark has no expression for.
 
 Each one is row-local, so it needs no shuffle and its memory is bounded by one row:
-n-gram multiset intersection, shift-aware edit distance, word diff.
+n-gram multiset intersection, shift-aware edit distance.
 """
 
 from __future__ import annotations
 
-import difflib
 import math
 from collections.abc import Iterator
 
@@ -15,7 +14,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bitloom.schemas import SHIFT_EDITS, WORD_DIFF
+from bitloom.schemas import SHIFT_EDITS
 
 
 def _clipped_matches(ids: np.ndarray, n_hyp: int, n_ref: int, order: int) -> list[int]:
@@ -68,27 +67,6 @@ def char_ngram_matches(order: int):
     return udf
 
 
-@F.pandas_udf(WORD_DIFF)
-def word_diff(mt: pd.Series, post_edit: pd.Series) -> pd.DataFrame:
-    """Ratcliff-Obershelp ratio and changed blocks over the words of two texts."""
-    ratios, blocks = [], []
-    for a, b in zip(mt, post_edit):
-        if a is None or b is None:
-            ratios.append(None)
-            blocks.append(None)
-            continue
-        x, y = a.split(), b.split()
-        matcher = difflib.SequenceMatcher(None, x, y)
-        ratios.append(matcher.ratio())
-        blocks.append([{"op": op, "mt_words": x[i1:i2], "pe_words": y[j1:j2]}
-                       for op, i1, i2, j1, j2 in matcher.get_opcodes() if op != "equal"])
-    return pd.DataFrame({"ratio": ratios, "ops": blocks})
-
-
-# Filters on the result must not make Spark run the diff once more before them.
-word_diff = word_diff.asNondeterministic()
-
-
 # --- shift-aware edit distance -------------------------------------------------------------------
 # Fixed values of the published search.
 MAX_SHIFT_LENGTH, MAX_SHIFT_DISTANCE, MAX_CANDIDATES, BEAM = 10, 50, 1000, 25

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from bitloom import config
 from bitloom.functions import text as tx
-from bitloom.session import fits_broadcast
-
-_SALTS = 32
 
 
 def glossary_frame(spark: SparkSession, entries: dict[str, str] = config.GLOSSARY_EN_NL) -> DataFrame:
@@ -18,15 +15,8 @@ def glossary_frame(spark: SparkSession, entries: dict[str, str] = config.GLOSSAR
 
 
 def _spread_join(df: DataFrame, key: Column, side: DataFrame, how: str) -> DataFrame:
-    """Join on ``term``. A small glossary is broadcast; a large one is repeated over salts, so the
-    occurrences of one frequent word are spread over many tasks."""
-    keyed = df.withColumn("term", key)
-    if fits_broadcast(side):
-        return keyed.join(F.broadcast(side), "term", how)
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)).cast("array<bigint>"))
-    salted = side.withColumn("_salt", salts)
-    return keyed.withColumn("_salt", salt).join(salted, ["term", "_salt"], how).drop("_salt")
+    """Join on ``term``; adaptive execution picks the join and splits a frequent word's partition."""
+    return df.withColumn("term", key).join(side, "term", how)
 
 
 def lookup(df: DataFrame, glossary: DataFrame, word: str = "word") -> DataFrame:
@@ -54,11 +44,14 @@ def word_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def upsert(glossary: DataFrame, new_terms: DataFrame, order: str | None = None) -> DataFrame:
-    """New terms replace old ones with the same lower-cased key; the last of several wins."""
-    lowered = new_terms.withColumn("term", F.lower("term"))
-    rank = F.col(order) if order else F.lit(0)
-    latest = lowered.groupBy("term").agg(F.max_by("translation", rank).alias("translation"))
-    return glossary.join(latest.select("term"), "term", "left_anti").unionByName(latest)
+    """New terms replace old ones with the same lower-cased key. Of several, the last by ``order`` wins,
+    without one or among equals the greatest translation."""
+    def folded(terms: DataFrame, *by: str) -> DataFrame:
+        last = F.max_by("translation", F.struct(*by, "translation"))
+        return terms.withColumn("term", F.lower("term")).groupBy("term").agg(last.alias("translation"))
+
+    latest = folded(new_terms, *([order] if order else []))
+    return folded(glossary).join(latest.select("term"), "term", "left_anti").unionByName(latest)
 
 
 def fallback_translation(text: Column, entries: dict[str, str] = config.FALLBACK_WORDS) -> Column:

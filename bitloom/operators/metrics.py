@@ -64,10 +64,14 @@ def _gram_count(length: Column, n: int) -> Column:
 
 
 # --- BLEU ----------------------------------------------------------------------------------------
+def _present(text: str):
+    return F.coalesce(F.col(text), F.lit(""))
+
+
 def bleu_counts(df: DataFrame, hyp: str = "hypothesis", ref: str = "reference",
                 tokenize=tokens_13a) -> DataFrame:
-    """Adds ``bleu_match`` (array), ``bleu_hyp_len`` and ``bleu_ref_len``."""
-    tokens = df.withColumns({"_h": tokenize(F.col(hyp)), "_r": tokenize(F.col(ref))})
+    """Adds ``bleu_match`` (array), ``bleu_hyp_len`` and ``bleu_ref_len``. Null counts as empty."""
+    tokens = df.withColumns({"_h": tokenize(_present(hyp)), "_r": tokenize(_present(ref))})
     count = lambda c: F.size(tx.words(F.col(c))).cast("long")
     return tokens.withColumns({
         "bleu_match": kernels.word_ngram_matches(BLEU_ORDER)("_h", "_r"),
@@ -150,10 +154,10 @@ _CHRF_ORDERS = [("c", n) for n in range(1, CHAR_ORDER + 1)] + [("w", n) for n in
 
 def chrf_counts(df: DataFrame, hyp: str = "hypothesis", ref: str = "reference") -> DataFrame:
     """Adds ``chrf_match`` (array over 6 character and 2 word orders) and the four lengths."""
-    squeeze = lambda c: F.regexp_replace(F.col(c), f"[{tx.SPACE_CLASS}]+", "")
+    squeeze = lambda c: F.regexp_replace(_present(c), f"[{tx.SPACE_CLASS}]+", "")
     prepared = df.withColumns({
         "_hc": squeeze(hyp), "_rc": squeeze(ref),
-        "_hw": _split_edge_punctuation(F.col(hyp)), "_rw": _split_edge_punctuation(F.col(ref)),
+        "_hw": _split_edge_punctuation(_present(hyp)), "_rw": _split_edge_punctuation(_present(ref)),
     })
     return prepared.withColumns({
         "chrf_match": F.concat(kernels.char_ngram_matches(CHAR_ORDER)("_hc", "_rc"),
@@ -218,7 +222,7 @@ def corpus_chrf(df: DataFrame, group_cols: list[str] = (), hyp: str = "hypothesi
 # --- TER -----------------------------------------------------------------------------------------
 def ter_counts(df: DataFrame, hyp: str = "hypothesis", ref: str = "reference") -> DataFrame:
     """Adds ``ter_edits``, ``ter_shifts`` and ``ter_ref_len``; case is ignored."""
-    fold = lambda c: tx.collapse_whitespace(F.lower(F.col(c)))
+    fold = lambda c: tx.collapse_whitespace(F.lower(_present(c)))
     prepared = df.withColumns({"_h": fold(hyp), "_r": fold(ref)})
     counted = prepared.withColumn("_e", kernels.ter_edits("_h", "_r"))
     return counted.withColumns({

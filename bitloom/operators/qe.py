@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitloom import config
-from bitloom.functions import kernels
 from bitloom.functions import quality as q
 
 SCORES = ("comet_qe", "comet", "bert_f1")
@@ -31,16 +30,12 @@ def estimate_quality(df: DataFrame) -> DataFrame:
 def generate_feedback(df: DataFrame) -> DataFrame:
     """Quality estimate plus edit effort, category scores and suggestions per row.
 
-    Only a ``post_edit`` column brings in Python (the word-sequence ratio); everything else is a
-    chain of projections without an exchange.
+    A chain of projections without Python or an exchange. A column ``edit_ratio`` (likeness of the
+    translation to its post-edit), when present, decides the effort.
     """
     rated = estimate_quality(df)
     source, translation = F.col("source"), F.col("translation")
-    ratio = None
-    if "post_edit" in df.columns:
-        edited = F.when(F.col("post_edit") != "", F.col("post_edit"))
-        rated = rated.withColumn("_ratio", kernels.word_diff(translation, edited)["ratio"])
-        ratio = F.col("_ratio")
+    ratio = F.col("edit_ratio") if "edit_ratio" in df.columns else None
     scored = rated.withColumns({
         "edit_effort": q.edit_effort(F.col("quality_class"), ratio),
         "_fluency": q.fluency(translation),
@@ -56,7 +51,7 @@ def generate_feedback(df: DataFrame) -> DataFrame:
     return advised.withColumns({
         "overall_score": overall,
         "needs_post_edit": overall < NEEDS_EDIT_BELOW,
-    }).drop("_ratio", "_fluency", "_accuracy", "_terms", "_form")
+    }).drop("_fluency", "_accuracy", "_terms", "_form")
 
 
 def error_distribution(df: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _RANGES = 4096
-_SORTED_LIMIT = 10_000
 
 
 def value_of_rank(values: DataFrame, rank: int) -> int:
@@ -30,18 +29,17 @@ def value_of_rank(values: DataFrame, rank: int) -> int:
     return low
 
 
-def first_rows(df: DataFrame, n: int, order: str = "row_idx", tie: str | None = None) -> DataFrame:
-    """The first n rows by an integer column, equal values by ``tie``.
-
-    A short result is a top-k; a long one is a filter on the value at rank n.
-    """
-    ties = [tie] if tie else []
-    if n <= _SORTED_LIMIT:
-        return df.orderBy(order, *ties).limit(n)
-    values = df.select(F.col(order).cast("long").alias("v"))
-    if values.count() <= n:
-        return df
+def first_rows(df: DataFrame, n: int, order: str = "row_idx", tie: str = "sample_id") -> DataFrame:
+    """The first n rows by an integer column, equal values by the unique column ``tie``; rows without a
+    value come last. The value at rank n is found by counting, so no task sorts the table."""
+    if n <= 0:
+        return df.limit(0)
+    key = F.col(order).cast("long")
+    values = df.select(key.alias("v")).where("v IS NOT NULL")
+    present = values.count()
+    if present <= n:
+        rest = df.where(key.isNull()).orderBy(tie).limit(n - present) if present < n else df.limit(0)
+        return df.where(key.isNotNull()).unionByName(rest)
     bound = value_of_rank(values, n - 1)
-    below = df.where(F.col(order) < bound)
-    at_bound = df.where(F.col(order) == bound).orderBy(*ties or [order])
-    return below.unionByName(at_bound.limit(n - below.count()))
+    below = df.where(key < bound)
+    return below.unionByName(df.where(key == bound).orderBy(tie).limit(n - below.count()))

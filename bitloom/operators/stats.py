@@ -48,11 +48,12 @@ def placeholder_inventory(df: DataFrame) -> DataFrame:
     return found.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
 
 
-def domain_terms(df: DataFrame, limit: int = 50) -> DataFrame:
-    """Distinct lower-cased source words that contain a domain stem, the first ones in text order."""
+def domain_terms(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Distinct lower-cased source words that contain a domain stem; with ``limit`` the first ones in text order."""
     found = df.select(F.explode(F.array_distinct(tx.words(F.lower(F.col("source"))))).alias("word"))
     hit = tx.contains_any(F.col("word"), config.DOMAIN_STEMS)
-    return found.where(hit).distinct().orderBy("word").limit(limit)
+    terms = found.where(hit).distinct()
+    return terms.orderBy("word").limit(limit) if limit else terms
 
 
 def dataset_stats(df: DataFrame) -> DataFrame:

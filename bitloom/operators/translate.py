@@ -57,6 +57,9 @@ def _batch_at_once(fn: Callable[[list[str]], list[str]]):
     return udf.asNondeterministic()  # never called once more for a filter on its result
 
 
+_UNBOUNDED = (1 << 31) - 1
+
+
 def _guarded(df: DataFrame, column: str, max_length: int) -> DataFrame:
     clean = tx.sanitize_input(F.col(column), max_length)
     held = df.withColumn("_p", protect.protect_placeholders(clean, config.GUARD_PATTERNS))
@@ -68,21 +71,26 @@ def _put_back(output: Column) -> Column:
 
 
 def translate_column(df: DataFrame, fn: Callable, column: str = "source", mode: str = "row",
-                     max_length: int = 1024, retries: int = 3, pause: float = 0.5,
+                     max_length: int | None = None, retries: int = 3, pause: float = 0.5,
                      fallback_text: str = config.FALLBACK_TEXT) -> DataFrame:
     """Adds original_input, processed_input, output, warnings, fallback_used, processing_time.
 
+    Text is cut only when ``max_length`` is given, with a warning in either mode.
+
     mode "row": ``fn(text)`` per row with retries; after the last failure the word dictionary
     translates the source. mode "batch": ``fn(texts)`` once per Arrow batch, no validation and no
     retry; a failing batch gets the constant fallback text.
     """
+    cut = max_length is not None
+    max_length = max_length if cut else _UNBOUNDED
     guarded = _guarded(df, column, max_length)
     original = F.col(column)
     if mode == "batch":
         called = guarded.withColumn("_c", _batch_at_once(fn)("_t.text"))
         failed = F.col("_c.error").isNotNull()
         output = F.when(failed, F.lit(fallback_text)).otherwise(_put_back(F.col("_c.output")))
-        processed, warnings = F.col("_t.text"), tx.strings([])
+        processed = F.col("_t.text")
+        warnings = tx.validate_input(original, max_length)["warnings"] if cut else tx.strings([])
     else:
         blank = F.coalesce(tx.strip(original) == "", F.lit(True))
         called = guarded.withColumn("_c", _one_by_one(fn, retries, pause)(F.when(~blank, F.col("_t.text"))))

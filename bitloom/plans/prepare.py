@@ -21,7 +21,7 @@ class CorpusJob:
     source_path: str
     target_path: str
     output: str
-    max_train_samples: int | None = 500_000
+    max_train_samples: int | None = None
     bounds: config.LengthBounds = config.CORPUS_SCRIPT_BOUNDS
     val_ratio: float = 0.05
     seed: int = 42

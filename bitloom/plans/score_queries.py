@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bitloom import config
-from bitloom.operators import compare, metrics, postedit, qe, translate
+from bitloom.operators import compare, metrics, qe, translate
 from bitloom.plans import views
 from bitloom.plans.pair_queries import rounded
 from bitloom.session import work_dir
@@ -399,32 +399,6 @@ def qe_report(spark, folder):
     return report.withColumn("error_types", F.array_join("error_types", ","))
 
 
-@query()
-def feedback_with_post_edit(spark, folder):
-    rows = _rows(spark, folder).withColumn("post_edit", F.col("reference"))
-    return qe.generate_feedback(rows).select("sample_id", "edit_effort")
-
-
-# --- post-edits ------------------------------------------------------------------------------------
-def _diffs(spark, folder):
-    return postedit.diff_rows(views.eval_rows(spark, folder), "hypothesis", "reference")
-
-
-@query()
-def postedit_ratio(spark, folder):
-    return rounded(postedit.ratio_stats(_diffs(spark, folder)))
-
-
-@query()
-def postedit_top_words(spark, folder):
-    return postedit.top_words(_diffs(spark, folder))
-
-
-@query()
-def postedit_replacements(spark, folder):
-    return postedit.first_replacements(postedit.diff_rows(_rows(spark, folder), "translation", "reference"))
-
-
 # --- translation -----------------------------------------------------------------------------------
 def _upper_or_fail(text: str) -> str:
     if text.endswith("Bluetooth") or text.endswith("__"):

@@ -1,6 +1,6 @@
 """Pair, evaluation and score tables derived from the given tables, in Spark and in DuckDB SQL.
 
-Each view keeps every row and the whole text. The arithmetic on ``doc_id`` only decides how a row is
+Each view keeps the whole text and every row, but for ``pairs``: user turns without a reply have no pair. The arithmetic on ``doc_id`` only decides how a row is
 altered (a word left out, a placeholder lost), never whether it takes part.
 """
 
@@ -10,14 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitloom.functions import text as tx
-from bitloom.session import spread
-
-TEXT_TABLES = ("documents", "pages")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(rows) if name in TEXT_TABLES else rows
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,7 +22,5 @@ CACHED_PAIR = _struct(
 )
 TRANSLATIONS = _struct(source=_S, reference=_S, hypothesis=_S)
 MANIFEST = _struct(name=_S, path=_S, count=_L, content_hash=_S)
-OPCODES = T.ArrayType(_struct(op=_S, mt_words=T.ArrayType(_S), pe_words=T.ArrayType(_S)))
-WORD_DIFF = T.StructType([T.StructField("ratio", _D), T.StructField("ops", OPCODES)])
 TOKEN_MAP = T.ArrayType(_struct(token=_S, original=_S))
 SHIFT_EDITS = _struct(edits=_L, shifts=_L)

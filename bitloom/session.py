@@ -8,8 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -23,11 +22,6 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-# Largest side that may be broadcast. Beyond it the operators shuffle instead.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 << 20
-# Default size of a file split.
-SPLIT_BYTES = 128 << 20
 
 
 def build_session(app: str = "bitloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -84,35 +78,3 @@ def ship_package(spark: SparkSession) -> None:
                     out.write(path, os.path.relpath(path, os.path.dirname(root)))
     spark.sparkContext.addPyFile(archive)
     _shipped.add(app)
-
-
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """True when the frame has at most ``rows`` rows and ``size`` bytes of text.
-
-    Reads no more than ``rows + 1`` rows.
-    """
-    text = F.lit(0)
-    for field in df.schema.fields:
-        if field.dataType.typeName() == "string":
-            text = text + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-    n, length = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(text)).first()
-    return n <= rows and (length or 0) <= size
-
-
-def is_small(df: DataFrame) -> bool:
-    """True for a file table with fewer files than task slots and too few bytes to fill the slots."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not 0 < len(files) < slots:
-        return False
-    # only the file lengths are read
-    sizes = df.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length"))
-    return sizes.first()[0] < slots * SPLIT_BYTES
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deals a small table out over all task slots before work that is heavy per row.
-
-    Any other table is left alone, so at scale nothing is moved.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if is_small(df) else df

@@ -32,7 +32,7 @@ def seed_pairs(spark: SparkSession, rows: list[tuple[str, str]] = SEED_PAIRS,
         numbered, "sample_id string, row_idx long, source string, target string, domain string")
 
 
-def add_seeds_if_few(df: DataFrame, seeds: DataFrame, minimum: int = 100) -> DataFrame:
+def add_seeds_if_few(df: DataFrame, seeds: DataFrame, minimum: int) -> DataFrame:
     """Appends the seed rows when the table holds fewer than ``minimum`` rows."""
     if df.limit(minimum).count() >= minimum:
         return df
@@ -44,7 +44,8 @@ def load_training(spark: SparkSession, folder: str, processed: str | None = None
     """A processed file wins; else catalogues plus aligned text; seed rows if there is nothing."""
     if processed and path_exists(spark, processed):
         rows = read_json_array(spark, processed)
-        return rows.limit(max_samples) if max_samples else rows
+        return first_rows(rows, max_samples) if max_samples and "row_idx" in rows.columns else (
+            rows.orderBy("sample_id").limit(max_samples) if max_samples else rows)
     parts = []
     if path_exists(spark, folder):
         catalogues = parse_catalogues(spark, folder)

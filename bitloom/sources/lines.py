@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bitloom.functions import text as tx
-from bitloom.session import BROADCAST_ROWS
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -46,9 +45,6 @@ def number_rows(df: DataFrame, name: str = "line_no") -> DataFrame:
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     starts = splits.select("file", "block", "_first", (F.sum("_n").over(earlier) - F.col("_n")).alias("_start"))
-    # a file or a scan task ends a split, so their number bounds the rows of this table
-    if len(df.inputFiles()) + df.rdd.getNumPartitions() <= BROADCAST_ROWS:
-        starts = F.broadcast(starts)
     numbered = placed.join(starts, ["file", "block"])
     return numbered.withColumn(name, F.col("_start") + F.col("_pos") - F.col("_first")).drop(
         "_pos", "_first", "_start")
@@ -62,8 +58,6 @@ def read_lines(spark: SparkSession, path: str | list[str], strip_file: bool = Fa
         return numbered
     filled = numbered.where(F.col("text") != "").groupBy("file").agg(
         F.min("line_no").alias("_lo"), F.max("line_no").alias("_hi"))
-    if len(numbered.inputFiles()) <= BROADCAST_ROWS:
-        filled = F.broadcast(filled)  # one row per file
     inside = numbered.join(filled, "file").where(F.col("line_no").between(F.col("_lo"), F.col("_hi")))
     return inside.select("file", (F.col("line_no") - F.col("_lo")).alias("line_no"), "text")
 
@@ -75,15 +69,35 @@ def zip_lines(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("line_
     return a.join(b, list(keys))
 
 
+def relative_stem(file: str, folder: str) -> Column:
+    """Path of a file below the folder without its ending, one name per file of a tree."""
+    inside = F.element_at(F.split(F.col(file), rf"\Q{folder.rstrip('/')}/\E", -1), -1)
+    return F.regexp_replace(F.regexp_replace(inside, r"\.[^./]+$", ""), "/", "_")
+
+
+def numbered_files(lines: DataFrame) -> DataFrame:
+    """Adds ``file_no``, the rank of the file by its name; ranks one row per file."""
+    files = lines.select("file").distinct()
+    ranks = files.select("file", (F.row_number().over(Window.orderBy("file")) - 1).alias("file_no"))
+    return lines.join(ranks, "file")
+
+
 def read_aligned(spark: SparkSession, source_path: str, target_path: str, prefix: str = "europarl_",
                  drop_empty: bool = True, strip_file: bool = False, domain: str = "general") -> DataFrame:
-    """Pairs of two files aligned by line; ids carry the line number."""
-    pairs = zip_lines(read_lines(spark, source_path, strip_file), read_lines(spark, target_path, strip_file))
+    """Pairs of two files, or of two sides of equally many files in the order of their names, aligned by
+    line. Ids carry the line number, and the file's from the second one on."""
+    sides = [numbered_files(read_lines(spark, p, strip_file)) for p in (source_path, target_path)]
+    counts = [side.agg(F.max("file_no")).first()[0] for side in sides]
+    if None not in counts and counts[0] != counts[1]:
+        raise ValueError(f"the sides have {counts[0] + 1} and {counts[1] + 1} files")
+    pairs = zip_lines(*sides, ("file_no", "line_no"))
     if drop_empty:
         pairs = pairs.where((F.col("source") != "") & (F.col("target") != ""))
+    file = F.when(F.col("file_no") > 0, F.concat(F.col("file_no").cast("string"), F.lit("_"))).otherwise("")
     return pairs.select(
-        F.concat(F.lit(prefix), F.col("line_no").cast("string")).alias("sample_id"),
-        F.col("line_no").alias("row_idx"), "source", "target", F.lit(domain).alias("domain"))
+        F.concat(F.lit(prefix), file, F.col("line_no").cast("string")).alias("sample_id"),
+        (F.col("file_no") * F.lit(1 << 40) + F.col("line_no")).alias("row_idx"), "source", "target",
+        F.lit(domain).alias("domain"))
 
 
 # File names tried for aligned text, in order.
@@ -93,11 +107,11 @@ ALIGNED_NAMES = [("en.txt", "nl.txt"), ("english.txt", "dutch.txt")]
 def read_aligned_folder(spark: SparkSession, folder: str, prefix: str = "wmt16_txt_") -> DataFrame | None:
     """All file pairs present under the known names (blank lines kept), or None."""
     found = []
-    for left, right in ALIGNED_NAMES:
+    for number, (left, right) in enumerate(ALIGNED_NAMES):
         a, b = f"{folder}/{left}", f"{folder}/{right}"
         if path_exists(spark, a) and path_exists(spark, b):
-            found.append(read_aligned(spark, a, b, prefix, drop_empty=False, strip_file=True,
-                                      domain="software"))
+            own = f"{prefix}{number}_" if number else prefix  # ids stay apart
+            found.append(read_aligned(spark, a, b, own, drop_empty=False, strip_file=True, domain="software"))
     if not found:
         return None
     out = found[0]
@@ -116,7 +130,7 @@ def read_stem_folder(spark: SparkSession, folder: str, lang: str = "nl",
         return lines.select(stem.alias("stem"), "line_no", tx.strip(valid_text(F.col("value"))).alias("text"))
 
     pairs = zip_lines(side("en"), side(lang), ("stem", "line_no"))
-    name = F.element_at(F.split("stem", "/"), -1)
+    name = relative_stem("stem", folder)
     return pairs.where((F.col("source") != "") & (F.col("target") != "")).select(
         F.concat(F.lit(prefix), name, F.lit("_"), F.col("line_no").cast("string")).alias("sample_id"),
         F.col("line_no").alias("row_idx"), "source", "target", F.lit("software/IT").alias("domain"),

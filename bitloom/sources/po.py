@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitloom.functions import text as tx
-from bitloom.sources.lines import number_rows, read_splits, valid_text
+from bitloom.sources.lines import relative_stem, number_rows, read_splits, valid_text
 
 _QUOTED = r'"((?:[^"\\]|\\.)*+)"'
 _LINES = rf'((?:\s*(?:#~\s*)?{_QUOTED.replace("((", "(?:(")})++)'
@@ -23,13 +23,14 @@ def _string_of(entry: Column, keyword: str) -> Column:
 
 
 def _plural_forms(entry: Column) -> Column:
-    """Array of (source, target) of one entry: msgid with the first form, msgid_plural with the rest."""
+    """Array of (source, target) of one entry: msgid with the first form, msgid_plural with all others."""
     single, plural = _string_of(entry, "msgid"), _string_of(entry, "msgid_plural")
     pair = lambda s, t: F.struct(s.alias("source"), t.alias("target"))
-    forms = [pair(single, _string_of(entry, r"msgstr\[0\]"))]
-    forms += [pair(plural, _string_of(entry, rf"msgstr\[{i}\]")) for i in range(1, 6)]
+    blocks = tx.matches(entry, rf"(?m)^(?:#~\s*)?msgstr\[\d+\]\s{_LINES}", 1)
+    forms = F.transform(blocks, lambda b, i: pair(
+        F.when(i == 0, single).otherwise(plural), F.array_join(tx.matches(b, _QUOTED, 1), "")))
     plain = F.array(pair(single, _string_of(entry, "msgstr")))
-    chosen = F.when(plural.isNotNull(), F.array(*forms)).otherwise(plain)
+    chosen = F.when(plural.isNotNull(), forms).otherwise(plain)
     return F.filter(chosen, lambda p: p["source"].isNotNull() & p["target"].isNotNull())
 
 
@@ -47,7 +48,7 @@ def parse_catalogues(spark: SparkSession, path: str, lang: str | None = None, ne
     entries = entries.where(F.col("entry").rlike(r"(?m)^(?:#~\s*)?msgid\s"))
     pairs = number_rows(entries, "entry_no").select(
         "file", "entry_no", F.posexplode(_plural_forms(F.col("entry"))).alias("form", "p"))
-    stem = F.regexp_extract("file", r"([^/]+)\.[^./]+$", 1)
+    stem = relative_stem("file", path)
     form = F.when(F.col("form") > 0, F.concat(F.lit("_"), F.col("form").cast("string"))).otherwise("")
     cleaned = pairs.where("p.source != '' and p.target != '' and p.source != p.target").select(
         F.concat(F.lit("po_"), stem, F.lit("_"), F.col("entry_no").cast("string"), form).alias("sample_id"),

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bitloom.session import is_small, work_dir
+from bitloom.session import work_dir
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Parquet files of one name in a folder as a stream; few small files are dealt out."""
+    """Parquet files of one name in a folder as a stream."""
     table = spark.read.parquet(f"{folder}/{name}.parquet")
-    stream = spark.readStream.schema(table.schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
-    return stream.repartition(spark.sparkContext.defaultParallelism) if is_small(table) else stream
+    return spark.readStream.schema(table.schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def drain(stream: DataFrame) -> DataFrame:

@@ -5,26 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-
 
 def window_metrics(requests: DataFrame, size: str = "1 hour", slide: str | None = None,
                    delay: str | None = "10 minutes", extra: list[Column] = ()) -> DataFrame:
     """Count, latency percentiles, mean latency and error rate per window.
 
     Input: ts, latency, is_error; ``is_fallback`` and ``score`` are used when present. Percentiles
-    are sketches whose size does not grow with the window.
+    are exact: a window's state holds its distinct latencies with their counts. Means are decimal sums divided
+    once, so they do not depend on the order of the rows.
     """
     rows = requests.withWatermark("ts", delay) if requests.isStreaming else requests
     window = F.window("ts", size, slide) if slide else F.window("ts", size)
-    latency = F.percentile_approx("latency", [0.5, 0.95, 0.99], ACCURACY)
+    percentile = lambda p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY latency)")
+    latency = F.array(*[percentile(p) for p in (0.5, 0.95, 0.99)])
     rate = lambda c: F.avg(F.col(c).cast("int"))
-    sums = [F.count(F.lit(1)).alias("n"), latency.alias("_p"), F.avg("latency").alias("mean_latency"),
+    mean = lambda c: F.sum(F.col(c).cast("decimal(28,12)")).cast("double") / F.count(c)
+    sums = [F.count(F.lit(1)).alias("n"), latency.alias("_p"), mean("latency").alias("mean_latency"),
             rate("is_error").alias("error_rate")]
     if "is_fallback" in requests.columns:
         sums.append(rate("is_fallback").alias("fallback_rate"))
     if "score" in requests.columns:
-        sums.append(F.avg("score").alias("mean_score"))
+        sums.append(mean("score").alias("mean_score"))
     out = rows.groupBy(window.alias("w")).agg(*sums, *extra)
     percentiles = [F.col("_p")[i].alias(f"latency_p{p}") for i, p in enumerate((50, 95, 99))]
     rest = [c for c in out.columns if c not in ("w", "_p")]

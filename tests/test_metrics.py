@@ -219,3 +219,12 @@ def test_groups_and_json(spark):
         assert by_group[g] == pytest.approx(brute_bleu(PAIRS[g::2], False))
     text = metrics.result_json(metrics.evaluate(df, ["g"], metrics=["bleu", "ter"])).first()["result"]
     assert set(json.loads(text)) >= {"num_samples", "bleu", "ter", "aggregate_score"}
+
+
+def test_null_texts_count_as_empty(spark):
+    rows = [("a b", None), (None, "a b"), (None, None), ("", "")]
+    df = spark.createDataFrame(rows, "hypothesis string, reference string")
+    counted = metrics.ter_counts(metrics.chrf_counts(metrics.bleu_counts(df))).collect()
+    assert [r["ter_edits"] for r in counted] == [2, 2, 0, 0]
+    assert [r["bleu_ref_len"] for r in counted] == [0, 2, 0, 0]
+    assert all(sum(r["bleu_match"]) == 0 and sum(r["chrf_match"]) == 0 for r in counted)

@@ -87,33 +87,28 @@ def test_head_tail_split(spark, n):
     assert sizes == ({"train": n, "val": max(1, n // 5)} if n <= 10 else {"train": int(n * 0.9), "val": n - int(n * 0.9)})
 
 
-def test_first_rows_beyond_the_sort_limit(spark, monkeypatch):
+def test_first_rows_by_rank(spark):
     df = spark.range(500).select((F.col("id") % 250).alias("row_idx"), F.col("id").cast("string").alias("sample_id"))
-    monkeypatch.setattr(ranks, "_SORTED_LIMIT", 10)
     rows = sorted(r["row_idx"] for r in ranks.first_rows(df, 101, tie="sample_id").collect())
     assert rows == sorted(i % 250 for i in range(500))[:101]
+    gap = df.unionByName(spark.createDataFrame([(None, "x")], "row_idx long, sample_id string"))
+    for n in (1, 10, 500, 501, 600):
+        got = [r["row_idx"] for r in ranks.first_rows(gap, n).collect()]
+        assert len(got) == min(n, 501) and (None in got) == (n > 500)
 
 
-def test_glossary(spark, monkeypatch):
+def test_glossary(spark):
     terms = glossary.glossary_frame(spark)
     words = spark.createDataFrame([(i, w) for i, w in enumerate(["Settings", "boom", "APP"])], "doc_id int, word string")
-    for small in (True, False):
-        monkeypatch.setattr(glossary, "fits_broadcast", lambda side, small=small: small)
-        got = {r["word"]: r["translation"] for r in glossary.lookup(words, terms).collect()}
-        assert got == {"Settings": "instellingen", "boom": None, "APP": "app"}
-        assert glossary.known_words(words, terms).count() == 2
-        assert [r["word"] for r in glossary.unknown_words(words, terms).collect()] == ["boom"]
+    got = {r["word"]: r["translation"] for r in glossary.lookup(words, terms).collect()}
+    assert got == {"Settings": "instellingen", "boom": None, "APP": "app"}
+    assert glossary.known_words(words, terms).count() == 2
+    assert [r["word"] for r in glossary.unknown_words(words, terms).collect()] == ["boom"]
     new = spark.createDataFrame([("App", "programma", 1), ("app", "toepassing", 2), ("Boom", "tree", 1)], "term string, translation string, o int")
     merged = {r["term"]: r["translation"] for r in glossary.upsert(terms, new, "o").collect()}
     assert merged["app"] == "toepassing" and merged["boom"] == "tree" and len(merged) == 41
 
 
-def test_broadcast_check(spark):
-    df = spark.range(10).select(F.repeat(F.lit("x"), F.lit(100)).alias("t"))
-    assert session.fits_broadcast(df) and not session.fits_broadcast(df, rows=9)
-    assert not session.fits_broadcast(df, size=999) and session.fits_broadcast(df, size=1000)
-
-
 def test_fallback_words(column):
     assert column(glossary.fallback_translation, "My Phone  SETTINGS", "PC", "") == ["my telefoon instellingen", "pc", ""]
 

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from bitloom.functions import quality as q
-from bitloom.operators import compare, postedit, qe
+from bitloom.operators import compare, qe
 
 
 def python_fluency(text):
@@ -54,16 +54,16 @@ def test_class_and_effort(spark):
 
 
 def test_feedback(spark):
-    rows = [(0, "{1} Update the USB", "Werk bij", "{1} Werk de USB bij.", 0.0, None, ""),
-            (1, "Go on", "Ga door.", "Ga door.", 0.95, 0.9, "Ga nu door.")]
-    df = spark.createDataFrame(rows, "row_idx int, source string, translation string, reference string, comet_qe double, comet double, post_edit string")
+    rows = [(0, "{1} Update the USB", "Werk bij", "{1} Werk de USB bij.", 0.0, None, None),
+            (1, "Go on", "Ga door.", "Ga door.", 0.95, 0.9, 0.8)]
+    df = spark.createDataFrame(rows, "row_idx int, source string, translation string, reference string, comet_qe double, comet double, edit_ratio double")
     out = qe.generate_feedback(df).orderBy("row_idx").collect()
     bad, good = out
     assert bad["categories"]["accuracy"]["score"] == 0.7 and bad["quality_class"] == "poor" and bad["edit_effort"] == 4
     assert bad["suggestions"][0] == "Consider retranslating this segment"
     assert "Check formatting and placeholder preservation" in bad["suggestions"]
     assert good["suggestions"] == [] and good["edit_effort"] == 3  # ratio 0.8 to the post-edit
-    plan = qe.generate_feedback(df.drop("post_edit"))._jdf.queryExecution().toString()
+    plan = qe.generate_feedback(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
     assert qe.error_distribution(qe.estimate_quality(df)).count() == 4
     assert qe.report_table(qe.generate_feedback(df)).first()["severity"] in ("critical", "major", "minor")
@@ -76,15 +76,6 @@ def test_score_reports(spark):
     assert abs(s["median_score"] - 0.595) < 1e-12 and s["max_score"] == 0.9
 
 
-def test_post_edits(spark):
-    rows = [(0, "a b c", "a x c"), (1, "a b c", "a b c d d"), (2, "e a b", "a b")]
-    diffs = postedit.diff_rows(spark.createDataFrame(rows, "row_idx int, translation string, post_edit string"))
-    words = {(r["kind"], r["word"]): r["n"] for r in postedit.top_words(diffs).collect()}
-    assert words == {("insert", "d"): 2, ("delete", "e"): 1}
-    assert [(r["original"], r["edited"]) for r in postedit.first_replacements(diffs).collect()] == [("b", "x")]
-    assert postedit.ratio_stats(diffs).first()["max_ratio"] == 0.8
-
-
 def test_comparison(spark):
     rows = [("a", 0, 30.0, 50.0, None), ("b", 1, 30.0, 40.0, 0.7)]
     df = spark.createDataFrame(rows, "model string, model_order int, bleu double, ter double, comet double")

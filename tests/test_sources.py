@@ -49,7 +49,7 @@ def test_po(spark, tmp_path):
     assert [(r["source"], r["target"]) for r in got] == [
         ('Open "file"', 'Bestand "openen"'), ("Long line", "Lange regel"), ("%d file", "%d bestand"),
         ("%d files", "%d bestanden"), ("Old", "Oud")]
-    assert got[0]["sample_id"] == "po_app.nl_1" and po.parse_catalogues(spark, str(tmp_path)).count() == 6
+    assert got[0]["sample_id"] == "po_x_app.nl_1" and po.parse_catalogues(spark, str(tmp_path)).count() == 6
 
 
 def test_aligned_lines_over_many_splits(spark, tmp_path):
@@ -94,7 +94,7 @@ def test_cascade(spark, tmp_path):
     rows = cascade.load_training(spark, f"{base}/raw", processed=done).collect()
     assert len(rows) == 2 and {len(r["metadata"]) for r in rows} == {0, 1}
     few = cascade.load_training(spark, f"{base}/raw")
-    assert cascade.add_seeds_if_few(few, cascade.seed_pairs(spark)).count() == 4 + len(cascade.SEED_PAIRS)
+    assert cascade.add_seeds_if_few(few, cascade.seed_pairs(spark), minimum=100).count() == 4 + len(cascade.SEED_PAIRS)
     assert cascade.add_seeds_if_few(few, cascade.seed_pairs(spark), minimum=4).count() == 4
 
 
@@ -135,3 +135,20 @@ def test_preparation_jobs(spark, tmp_path):
     assert (row["total_samples"], row["val_samples"], row["test_samples"]) == (54, 6, 60)
     stored = sinks.load_processed(spark, f"{tmp_path}/set", "train").first()
     assert stored["target"].endswith("__PLACEHOLDER_NUM_0__") and stored["metadata"]["original_target"].endswith("{1}")
+
+
+def test_aligned_folders(spark, tmp_path):
+    for side in "ab":
+        for file in "12":
+            path = tmp_path / side / f"{file}.txt"
+            path.parent.mkdir(exist_ok=True)
+            path.write_text(f"{side}{file} one\n{side}{file} two\n")
+    pairs = lines.read_aligned(spark, str(tmp_path / "a"), str(tmp_path / "b")).collect()
+    assert len({r["sample_id"] for r in pairs}) == len({r["row_idx"] for r in pairs}) == 4
+    assert all(r["source"][1:] == r["target"][1:] for r in pairs)
+    (tmp_path / "b" / "3.txt").write_text("x\n")
+    try:
+        lines.read_aligned(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+        raise AssertionError("unequal sides must fail")
+    except ValueError:
+        pass

@@ -33,3 +33,9 @@ def test_repeats(spark):
 
 def test_work_dir_follows_the_session(spark):
     assert work_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_percentiles_are_exact(spark):
+    rows = spark.range(200_000).selectExpr("timestamp'2024-01-01 00:00:00' AS ts", "double(id * 7919 % 200000) AS latency", "false AS is_error")
+    row = monitor.window_metrics(rows, "1 day").first()
+    assert [row[f"latency_p{p}"] for p in (50, 95, 99)] == [99_999.0, 189_999.0, 197_999.0]
