@@ -35,25 +35,29 @@ def build_session(app: str = "bitloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def _one_process(spark: SparkSession) -> bool:
+    return bool(re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master))
+
+
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder below the shared checkpoint folder the cluster names."""
+    """A fresh folder below the shared checkpoint folder the cluster names.
+
+    A session in one process without ``spark.checkpoint.dir`` (tests, benches) works below its warehouse;
+    a cluster has to name one.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and _one_process(spark):
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def prepare_session(spark: SparkSession) -> None:
-    """Settings the results rely on, for a session that ``build_session`` did not make.
-
-    A session in one process without ``spark.checkpoint.dir`` (tests, benches) gets a folder below its
-    warehouse; a cluster has to name one.
-    """
+    """Settings the results rely on, for a session that ``build_session`` did not make."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", DEFAULTS["spark.sql.execution.arrow.maxRecordsPerBatch"])
-    if not spark.conf.get("spark.checkpoint.dir", None) and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        spark.conf.set("spark.checkpoint.dir", f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")
     ship_package(spark)
 
 
@@ -66,7 +70,7 @@ def ship_package(spark: SparkSession) -> None:
     The zip is read by the driver alone; Spark's own file server hands it to the executors.
     """
     app = spark.sparkContext.applicationId
-    if app in _shipped or re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+    if app in _shipped or _one_process(spark):
         return
     root = os.path.dirname(os.path.abspath(__file__))
     archive = os.path.join(tempfile.mkdtemp(prefix="bitloom-source-"), "bitloom.zip")
