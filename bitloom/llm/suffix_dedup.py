@@ -1,11 +1,13 @@
 """Removal of byte strings that an earlier document holds, by two-stage suffix sorting.
 
 Every string of ``width`` bytes belongs to the segment around its minimizer, the smallest hashed ``KMER``
-bytes inside it, so equal strings meet in the same part wherever they come from. A block of documents
-sends each distinct segment once, with its smallest document. A part sorts the suffixes of the segments
-that share a context with another one: suffixes smaller than their successor are sorted directly, all
-others are induced by scanning the buckets of first bytes in order. Neighbours with a common prefix of
-``width`` bytes form a group, and every member whose document is not the group's smallest is removed.
+bytes inside it, so equal strings meet in the same part wherever they come from. At first a segment sends
+only short hashes of its contexts left and right of the minimizer: segments that share a string of
+``width`` bytes share one of them, so a segment both of whose contexts are single needs no sorting. Then
+a block of documents sends the text of each distinct segment that is left, with its smallest document. A
+part sorts their suffixes: those smaller than their successor are sorted directly, all others are induced
+by scanning the buckets of first bytes in order. Neighbours with a common prefix of ``width`` bytes form
+a group, and every member whose document is not the group's smallest is removed.
 
 Null text counts as empty. A null id comes after all others. Documents with equal ids never remove each
 other; an id with several texts keeps its rows apart. Only the input decides, not what is left.
@@ -34,7 +36,7 @@ _LAST = (1 << 63) - 1
 _TAG = 40  # bits below the tag that keeps texts of one id apart
 _BASE = np.uint64(0xD1342543DE82EF95)
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_COLUMNS = ("docs", "at", "size", "anchor", "segment", "text")
+_COLUMNS = ("done", "docs", "at", "size", "anchor", "segment", "text")
 
 
 @lru_cache(maxsize=2)
@@ -115,33 +117,129 @@ def _open(raw: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(raw), dtype=kind)
 
 
-def _slices(keys: list[int], tags: list[int], texts: list[str], width: int) -> Iterator[tuple[int, int, bytes]]:
-    """(key, first byte, bytes): texts in slices of bounded size; every window lies in exactly one."""
-    for key, tag, text in zip(keys, tags, texts):
+def _slices(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, bytes, np.ndarray | None]]:
+    """(key, first byte, bytes, marks): texts in slices of bounded size; every window lies in exactly one.
+
+    The marks are starts of segments, counted from the slice's first byte, or None for all.
+    """
+    keys, tags, texts = (batch.column(i).to_pylist() for i in range(3))
+    marks = batch.column(3) if batch.num_columns > 3 else [None] * len(keys)
+    for key, tag, text, marked in zip(keys, tags, texts, marks):
         raw = text.encode()
-        for start in range(0, max(1, len(raw) - width + 1), STEP):
-            yield key, (tag << _TAG) + start, raw[start:start + STEP + width - 1]
+        starts = None if marked is None else np.sort(marked.values.to_numpy().astype(np.int64))
+        for first in range(0, max(1, len(raw) - width + 1), STEP):
+            own = None if starts is None else starts[slice(*np.searchsorted(starts, [first, first + STEP]))] - first
+            yield key, (tag << _TAG) + first, raw[first:first + STEP + width - 1], own
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[tuple]]:
+    """Slices in blocks of about ``BLOCK`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        for piece in _slices(batch, width):
+            if held and size + len(piece[2]) > BLOCK:
+                yield held
+                held, size = [], 0
+            held.append(piece)
+            size += len(piece[2])
+    if held:
+        yield held
+
+
+def _steps(slices: list[tuple], width: int, kmer: int):
+    """A few slices at a time, as the hashes of every place take many times the text's memory: hashes, first
+    byte, and source, start, end and anchor of their segments, counted from that byte."""
+    data = np.frombuffer(b"".join(s[2] for s in slices), dtype=np.uint8)
+    edges = np.concatenate([[0], np.cumsum([len(s[2]) for s in slices])])
+    ends = np.unique(np.append(np.searchsorted(edges, np.arange(0, len(data), STEP)), len(slices)))
+    for i, j in zip(ends[:-1], ends[1:]):
+        hashes, source, *rest = segments(data[edges[i]:edges[j]], edges[i:j + 1] - edges[i], width, kmer)
+        yield hashes, edges[i], source + i, *rest
+
 
+def _part_of(hashes: Hashes, anchor: np.ndarray, parts: int, kmer: int) -> np.ndarray:
+    return ((hashes.of(anchor, anchor + kmer) >> np.uint64(20)) % np.uint64(parts)).astype(np.int32)
 
-def _segment_rows(data: np.ndarray, edges: np.ndarray, i: int, j: int, parts: int, width: int, kmer: int):
-    """Source, start, end, anchor, hash and part of the segments of the texts i to j - 1."""
-    base = edges[i]
-    hashes, source, start, end, anchor = segments(data[base:edges[j]], edges[i:j + 1] - base, width, kmer)
-    part = ((hashes.of(anchor, anchor + kmer) >> np.uint64(20)) % np.uint64(parts)).astype(np.int32)
-    return source + i, start + base, end + base, anchor + base, hashes.of(start, end), part
 
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """Of 31 bits, 0 for none. Unequal contexts with equal hashes cost work, not correctness."""
+    return np.where(hashes == 0, 0, (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)).astype(np.uint32)
+
+
+def _binary_batch(rows: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * (len(names) + 1)
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                                      names=["part", *names])
+
+
+_CONTEXTS = ("docs", "at", "left", "right")
+
+
+def _context_rows(parts: int, width: int, kmer: int):
+    """Of each block a row per part: document, place, left and right context of its segments."""
+    half = (width - kmer) // 2
 
-def _block(slices: list[tuple[int, int, bytes]], parts: int, width: int, kmer: int, passing: int) -> list[tuple]:
-    """Rows (part, done, columns …): a row per part with its distinct segments, and one with the stretches
-    that a smaller document of the block removes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _gathered(batches, width):
+            keys, firsts = np.array([s[0] for s in held]), np.array([s[1] for s in held])
+            edges = np.concatenate([[0], np.cumsum([len(s[2]) for s in held])])
+            found = []
+            for hashes, base, source, start, end, anchor in _steps(held, width, kmer):
+                left, right = _contexts(hashes, start, end, anchor, kmer, half)
+                found.append((_part_of(hashes, anchor, parts, kmer), keys[source],
+                              firsts[source] + base + start - edges[source], _short(left), _short(right)))
+            part, *columns = map(np.concatenate, zip(*found))
+            order = np.argsort(part, kind="stable")
+            rows = []
+            for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
+                doc, at, left, right = (c[own] for c in columns)
+                rows.append((int(part[own[0]]), _packed(np.diff(doc, prepend=0)), _packed(np.diff(at, prepend=0)),
+                             left.tobytes(), right.tobytes()))
+            yield _binary_batch(rows, _CONTEXTS)
+    return run
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of one part after the other."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and held[0][0] != row[0]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, tag, start) of the segments with a context that another segment has too."""
+    for rows in _by_part(batches):
+        left, right = (np.concatenate([np.frombuffer(r[i], np.uint32) for r in rows]) for i in (3, 4))
+        some = _repeated(left) | _repeated(right)
+        doc, at = (np.concatenate([np.cumsum(_open(r[i], np.int64)) for r in rows])[some] for i in (1, 2))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(doc), pa.array(at >> _TAG), pa.array((at & ((1 << _TAG) - 1)).astype(np.int32))],
+            names=["key", "tag", "start"])
+
+
+def _block(slices: list[tuple], parts: int, width: int, kmer: int, passing: int) -> list[tuple]:
+    """Rows (part, done, columns …): a row per part with the distinct marked segments, and one with the
+    stretches that a smaller document of the block removes."""
     slices = sorted(slices, key=lambda s: s[0])
     data = np.frombuffer(b"".join(s[2] for s in slices), dtype=np.uint8)
     edges = np.concatenate([[0], np.cumsum([len(s[2]) for s in slices])])
     keys, firsts = np.array([s[0] for s in slices]), np.array([s[1] for s in slices])
-    # a few texts at a time: the hashes of every place take many times the text's memory
-    steps = np.unique(np.append(np.searchsorted(edges, np.arange(0, len(data), STEP)), len(slices)))
-    found = [_segment_rows(data, edges, i, j, parts, width, kmer) for i, j in zip(steps[:-1], steps[1:])]
-    source, start, end, anchor, whole, part = map(np.concatenate, zip(*found)) if found else [np.zeros(0, np.int64)] * 6
+    marked = np.zeros(len(data) + 1, dtype=bool)
+    for edge, own in zip(edges, (s[3] for s in slices)):
+        marked[edge + own] = True
+    found = []
+    for hashes, base, source, start, end, anchor in _steps(slices, width, kmer):
+        own = marked[base + start]
+        source, start, end, anchor = source[own], start[own], end[own], anchor[own]
+        found.append((source, base + start, base + end, base + anchor, hashes.of(start, end),
+                      _part_of(hashes, anchor, parts, kmer)))
+    source, start, end, anchor, whole, part = map(np.concatenate, zip(*found))
     if not len(start):
         return []
     doc, at = keys[source], firsts[source] + start - edges[source]
@@ -151,10 +249,11 @@ def _block(slices: list[tuple[int, int, bytes]], parts: int, width: int, kmer: i
     rows = []
     gone = np.flatnonzero(~own)
     if len(gone):
-        opens = np.concatenate([[True], (np.diff(gone) > 1) | (source[gone[1:]] != source[gone[:-1]])])
+        opens = np.concatenate([[True], (np.diff(gone) > 1) | (source[gone[1:]] != source[gone[:-1]])
+                                | (start[gone[1:]] > end[gone[:-1]])])
         closes = np.concatenate([opens[1:], [True]])
         head, tail = gone[opens], gone[closes]
-        rows.append((passing, True, *map(_packed, (doc[head], at[head], at[tail] + end[tail] - start[tail] - at[head])), b"", b"", b""))
+        rows.append((passing, b"1", *map(_packed, (doc[head], at[head], at[tail] + end[tail] - start[tail] - at[head])), b"", b"", b""))
     held = np.flatnonzero(own)
     held = held[np.argsort(part[held], kind="stable")]
     number = np.zeros(len(first), dtype=np.int32)
@@ -163,7 +262,7 @@ def _block(slices: list[tuple[int, int, bytes]], parts: int, width: int, kmer: i
         number[segment[one]] = np.arange(len(one))
         text = data[ragged(start[one], end[one] - start[one])]
         # in the order of places, so that differences are small
-        rows.append((int(part[own[0]]), False, *map(_packed, (
+        rows.append((int(part[own[0]]), b"", *map(_packed, (
             np.diff(doc[own], prepend=0), np.diff(at[own], prepend=0), (end[one] - start[one]).astype(np.uint8),
             (anchor[one] - start[one]).astype(np.uint8), np.diff(number[segment[own]], prepend=0).astype(np.int32), text))))
     return rows
@@ -171,23 +270,8 @@ def _block(slices: list[tuple[int, int, bytes]], parts: int, width: int, kmer: i
 
 def _block_rows(parts: int, width: int, kmer: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit():
-            rows = _block(held, parts, width, kmer, hash(held[0][:2]) % parts)
-            columns = list(zip(*rows)) or [()] * 8
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.bool_()), *[pa.array(c, pa.binary()) for c in columns[2:]]],
-                names=["part", "done", *_COLUMNS])
-
-        held, size = [], 0
-        for batch in batches:
-            for piece in _slices(*(batch.column(i).to_pylist() for i in range(3)), width):
-                if held and size + len(piece[2]) > BLOCK:
-                    yield emit()
-                    held, size = [], 0
-                held.append(piece)
-                size += len(piece[2])
-        if held:
-            yield emit()
+        for held in _gathered(batches, width):
+            yield _binary_batch(_block(held, parts, width, kmer, hash(held[0][:2]) % parts), _COLUMNS)
     return run
 
 
@@ -252,15 +336,20 @@ def same_prefix(text: np.ndarray, order: np.ndarray, width: int) -> np.ndarray:
     return np.concatenate([[False], equal])
 
 
-def _contexts(text: np.ndarray, size: np.ndarray, anchor: np.ndarray, kmer: int, half: int):
-    """Hashes of each segment, of its left and right context (0 where it does not reach so far) and minimizer."""
+def _contexts(hashes: Hashes, start, end, anchor, kmer: int, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the minimizer with ``half`` bytes on its left, and on its right; 0 where the segment ends before."""
+    low, high = anchor - half, anchor + kmer + half
+    return (np.where(low >= start, hashes.of(np.maximum(low, start), anchor + kmer), 0),
+            np.where(high <= end, hashes.of(anchor, np.minimum(high, end)), 0))
+
+
+def _hashed(text: np.ndarray, size: np.ndarray, anchor: np.ndarray, kmer: int, half: int):
+    """Hashes of each segment, its contexts and its minimizer; the segments lie one after another."""
     hashes = Hashes(text)
     end = np.cumsum(size)
     start = end - size
     anchor = start + anchor
-    low, high = anchor - half, anchor + kmer + half
-    return (hashes.of(start, end), np.where(low >= start, hashes.of(np.maximum(low, start), anchor + kmer), 0),
-            np.where(high <= end, hashes.of(anchor, np.minimum(high, end)), 0), hashes.of(anchor, anchor + kmer))
+    return hashes.of(start, end), *_contexts(hashes, start, end, anchor, kmer, half), hashes.of(anchor, anchor + kmer)
 
 
 def _repeated(values: np.ndarray) -> np.ndarray:
@@ -307,7 +396,7 @@ def _part(rows: list[tuple], width: int, kmer: int) -> Iterator[tuple[np.ndarray
     segment = np.concatenate([np.cumsum(_open(r[6], np.int32)) + b for r, b in zip(rows, before)])
     # the minimizer with half of a window's other bytes on its left, and on its right
     half = (width - kmer) // 2
-    whole, left, right, mini = map(np.concatenate, zip(*(_contexts(*x, kmer, half) for x in zip(texts, sizes, anchors))))
+    whole, left, right, mini = map(np.concatenate, zip(*(_hashed(*x, kmer, half) for x in zip(texts, sizes, anchors))))
     # equal segments of several blocks are one
     _, first, same = np.unique(whole, return_index=True, return_inverse=True)
     size = np.concatenate(sizes)
@@ -346,22 +435,12 @@ def _stretches(own, piece, offset, width, segment, doc, at, later):
 
 def _part_rows(width: int, kmer: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit():
-            for doc, start, end in _part(held, width, kmer):
+        for rows in _by_part(batches):
+            for doc, start, end in _part(rows, width, kmer):
                 if len(doc):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(doc), pa.array(start >> _TAG), pa.array(start & ((1 << _TAG) - 1)), pa.array(end & ((1 << _TAG) - 1))],
                         names=["key", "tag", "start", "end"])
-
-        held: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[0][0] != row[0]:
-                    yield from emit()
-                    held = []
-                held.append(row)
-        if held:
-            yield from emit()
     return run
 
 
@@ -395,13 +474,19 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, kmer: int = KMER) -> DataF
     if not several.isEmpty():  # an id with several texts: the tag tells its rows apart
         rows = rows.join(several.withColumn("several", F.lit(True)), "key", "left")
         tag = F.when(F.col("several"), F.pmod(F.xxhash64("text"), F.lit(1 << 22))).otherwise(0)
-    rows = rows.select("doc_id", "key", tag.cast("long").alias("tag"), "text")
+    rows = rows.select("key", tag.cast("long").alias("tag"), "text", "doc_id")
     parts = 2 * salts(docs)
-    sent = rows.select("key", "tag", "text").mapInArrow(
-        _block_rows(parts, width, kmer), "part int, done boolean, " + ", ".join(f"{c} binary" for c in _COLUMNS))
+    contexts = rows.select("key", "tag", "text").mapInArrow(_context_rows(parts, width, kmer), "part int, " + ", ".join(f"{c} binary" for c in _CONTEXTS))
+    shared = (contexts.repartition(parts, "part").sortWithinPartitions("part")
+              .mapInArrow(_shared_rows, "key long, tag long, start int"))
+    # dealt by document before the lists are built: a list of one start takes several times its room
+    marks = shared.repartition("key").groupBy("key", "tag").agg(F.collect_list("start").alias("marks"))
+    # all columns go along, so that this exchange of the texts serves the last join too
+    sent = (rows.join(marks, ["key", "tag"]).select("key", "tag", "text", "marks", "doc_id")
+            .mapInArrow(_block_rows(parts, width, kmer), "part int, " + ", ".join(f"{c} binary" for c in _COLUMNS)))
     found = (sent.repartition(parts, "part").sortWithinPartitions("part")
              .mapInArrow(_part_rows(width, kmer), "key long, tag long, start long, end long"))
-    spans = found.groupBy("key", "tag").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    spans = found.repartition("key").groupBy("key", "tag").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (rows.join(spans, ["key", "tag"], "left").select("doc_id", "text", "starts", "ends")
             .mapInArrow(_kept_rows, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"))
