@@ -1,56 +1,94 @@
 """Arrow kernels for the two per-row computations Spark has no expression for.
 
-Each one is row-local, so it needs no shuffle and its memory is bounded by one row:
-n-gram multiset intersection, shift-aware edit distance.
+Both are row-local, so they need no shuffle: n-gram multiset intersection, counted over the rows of an
+Arrow batch at once, and shift-aware edit distance.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bitloom.schemas import SHIFT_EDITS
 
 
-def _clipped_matches(ids: np.ndarray, n_hyp: int, n_ref: int, order: int) -> list[int]:
-    """Per order 1..n: sum over grams of min(count in hypothesis, count in reference).
+_CHUNK = 1 << 18  # items counted at once, so that sorts stay in the cache
 
-    ``ids`` holds the hypothesis items followed by the reference items; grams are numbered by
-    extending the number of the next shorter gram with one item.
+
+def _grams(ids: list[np.ndarray], order: int) -> Iterator[list[np.ndarray]]:
+    """For n = 1..order, the number of the n items from each place on, per side (the places near the ends
+    run into the next text). Numbers are packed in a long as far as they fit, else given anew."""
+    base = max((int(i.max()) for i in ids if len(i)), default=0) + 1
+    grams, span = ids, base
+    yield grams, span
+    for n in range(2, order + 1):
+        if span > (1 << 40) // base:
+            sizes = [len(g) for g in grams]
+            distinct, again = np.unique(np.concatenate(grams), return_inverse=True)
+            grams, span = np.split(again, [sizes[0]]), max(len(distinct), 1)
+        grams = [g[:len(g) - 1] * base + i[n - 1:] for g, i in zip(grams, ids)]
+        span *= base
+        yield grams, span
+
+
+def clipped_matches(ids: list[np.ndarray], sizes: list[np.ndarray], order: int) -> np.ndarray:
+    """Per row and order 1..n: sum over grams of min(count in hypothesis, count in reference).
+
+    ``ids`` holds the items of all hypotheses one after another and those of all references; ``sizes``
+    the items per row. Runs of equal (row, gram) in sorted order are the counts.
     """
-    base = int(ids.max()) + 1 if len(ids) else 1
-    grams, out = ids, []
-    for n in range(1, order + 1):
-        if n > 1:
-            grams = np.unique(grams[:-1] * base + ids[n - 1:], return_inverse=True)[1]
-        hyp = grams[:max(n_hyp - n + 1, 0)]
-        ref = grams[n_hyp:n_hyp + max(n_ref - n + 1, 0)]
-        if not len(hyp) or not len(ref):
-            out.append(0)
-            continue
-        size = int(grams.max()) + 1
-        out.append(int(np.minimum(np.bincount(hyp, minlength=size),
-                                  np.bincount(ref, minlength=size)).sum()))
+    rows = len(sizes[0])
+    of = [np.repeat(np.arange(rows), s) for s in sizes]
+    left = [np.repeat(np.cumsum(s), s) - np.arange(len(i)) for s, i in zip(sizes, ids)]
+    out = np.zeros((rows, order), np.int64)
+    for n, (grams, span) in enumerate(_grams(ids, order), 1):
+        found = []
+        for gram, row, rest in zip(grams, of, left):
+            whole = rest[:len(gram)] >= n
+            found.append(np.unique(row[:len(gram)][whole] * span + gram[whole], return_counts=True))
+        (hyp, hyp_n), (ref, ref_n) = found
+        if len(hyp) and len(ref):
+            at = np.minimum(np.searchsorted(ref, hyp), len(ref) - 1)
+            both = ref[at] == hyp
+            np.add.at(out[:, n - 1], hyp[both] // span, np.minimum(hyp_n[both], ref_n[at[both]]))
     return out
 
 
+def _chunks(sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of rows of about _CHUNK items; a longer row is alone."""
+    chunk = np.cumsum(sizes) // _CHUNK
+    cuts = np.flatnonzero(np.diff(chunk)) + 1
+    for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)]):
+        if high > low:
+            yield slice(low, high)
+
+
+def _matches(ids: list[np.ndarray], sizes: list[np.ndarray], order: int) -> list:
+    ends = [np.concatenate([[0], np.cumsum(s)]) for s in sizes]
+    out = [np.zeros((0, order), np.int64)]
+    for part in _chunks(sizes[0] + sizes[1]):
+        some = [i[e[part.start]:e[part.stop]] for i, e in zip(ids, ends)]
+        some = np.split(np.unique(np.concatenate(some), return_inverse=True)[1].astype(np.int64), [len(some[0])])
+        out.append(clipped_matches(some, [s[part] for s in sizes], order))
+    return list(np.concatenate(out))
+
+
 def word_ngram_matches(order: int):
-    """UDF over two space-joined token strings."""
+    """UDF over two space-joined token strings; the words of a batch are numbered at once."""
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def udf(hyp: pd.Series, ref: pd.Series) -> pd.Series:
-        rows = []
-        for h, r in zip(hyp, ref):
-            hyp_words, ref_words = h.split(), r.split()
-            seen: dict[str, int] = {}
-            ids = np.fromiter((seen.setdefault(w, len(seen)) for w in hyp_words + ref_words),
-                              np.int64, len(hyp_words) + len(ref_words))
-            rows.append(_clipped_matches(ids, len(hyp_words), len(ref_words), order))
-        return pd.Series(rows)
+        cut = [[t.split() for t in side] for side in (hyp, ref)]
+        sizes = [np.array([len(w) for w in side], np.int64) for side in cut]
+        number = pa.array(list(chain.from_iterable(chain(*cut))), pa.string()).dictionary_encode().indices
+        ids = np.split(number.to_numpy(zero_copy_only=False).astype(np.int64), [int(sizes[0].sum())])
+        return pd.Series(_matches(ids, sizes, order))
     return udf
 
 
@@ -58,12 +96,10 @@ def char_ngram_matches(order: int):
     """UDF over two strings, by code points."""
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def udf(hyp: pd.Series, ref: pd.Series) -> pd.Series:
-        rows = []
-        for h, r in zip(hyp, ref):
-            codes = np.frombuffer((h + r).encode("utf-32-le", "surrogatepass"), np.uint32)
-            ids = np.unique(codes, return_inverse=True)[1].astype(np.int64)
-            rows.append(_clipped_matches(ids, len(h), len(r), order))
-        return pd.Series(rows)
+        sizes = [np.array([len(t) for t in side], np.int64) for side in (hyp, ref)]
+        ids = [np.frombuffer("".join(side).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+               for side in (hyp, ref)]
+        return pd.Series(_matches(ids, sizes, order))
     return udf
 
 
@@ -253,8 +289,8 @@ def shift_edits(hyp: np.ndarray, ref: np.ndarray) -> tuple[int, int]:
     beam, shifts, tried = _Beam(len(hyp), ref), 0, 0
     while True:
         distance = beam.forward(hyp)
-        if distance == 0:
-            break
+        if distance == abs(len(hyp) - len(ref)):
+            break  # shifts keep the length, so none can gain
         found = _shift_candidates(hyp, ref, *beam.alignment(hyp), MAX_CANDIDATES - tried)
         if not found:
             break

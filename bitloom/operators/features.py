@@ -15,6 +15,13 @@ NUMERIC = [
     "length_ratio", "num_placeholders", "num_technical_terms",
     "lexical_diversity_source", "lexical_diversity_target",
 ]
+NAMES = [
+    "sample_id", "source_length_chars", "source_length_words", "source_length_tokens", "source_avg_word_length",
+    "target_length_chars", "target_length_words", "target_length_tokens", "target_avg_word_length", "length_ratio",
+    "num_placeholders", "placeholder_types", "num_technical_terms", "technical_terms", "has_brand_names",
+    "source_unique_words", "target_unique_words", "lexical_diversity_source", "lexical_diversity_target",
+    "has_urls", "has_numbers", "has_special_punctuation",
+]
 FLAGS = {
     "samples_with_placeholders": "num_placeholders > 0",
     "samples_with_tech_terms": "num_technical_terms > 0",

@@ -1,8 +1,8 @@
 """Exact quantiles of many columns without gathering values in one task.
 
 Equal values are counted first, so a value that fills a third of the table is one row from then on.
-A fixed-size histogram per column tells which value range holds each wanted rank, and only the
-counted values of those ranges are ranked.
+Sampled ranges of about equally many counted values tell where each wanted rank lies, and only the
+values of those ranges are ranked.
 """
 
 from __future__ import annotations
@@ -10,7 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKETS = 4096
+from bitloom.session import work_dir
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written once to the shared work folder and read again."""
+    path = work_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -40,41 +47,43 @@ def moments_of_counts(counts: DataFrame) -> DataFrame:
     return spread.select("metric", "count", "mean", std.alias("std"), "min", "max")
 
 
+def ranked_values(counts: DataFrame, targets: Column) -> DataFrame:
+    """(metric, target, value) of counted values (metric, value, n).
+
+    ``targets`` is an array of structs over ``total`` (rows per metric), each with a field ``rank``: the
+    value at that rank, from 0, is wanted. The counted values are dealt to ranges of about equally many
+    of them; the sums of the ranges tell which ones hold a wanted rank, and only these are ranked, each
+    for itself. So no task sees more than a range, however the values are spread.
+    """
+    parts = max(8, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # written once: the ranges are sampled, and both uses have to see the same ones
+    dealt = stored(counts.select("metric", "value", "n").repartitionByRange(parts, "metric", "value")
+                   .withColumn("part", F.spark_partition_id()))
+    sums = dealt.groupBy("metric", "part").agg(F.sum("n").alias("in_part"))
+    of_metric = Window.partitionBy("metric")
+    up_to = of_metric.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = (sums.withColumns({"before": F.sum("in_part").over(up_to) - F.col("in_part"),
+                                "total": F.sum("in_part").over(of_metric)})
+              .withColumn("target", F.explode(targets))
+              .where((F.col("target.rank") >= F.col("before"))
+                     & (F.col("target.rank") < F.col("before") + F.col("in_part")))
+              .select("metric", "part", "before", "target"))
+    inside = Window.partitionBy("metric", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (dealt.join(wanted.select("metric", "part", "before").distinct(), ["metric", "part"])
+              .select("metric", "part", "value", "n", (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("first")))
+    return (ranked.join(wanted.drop("before"), ["metric", "part"])
+            .where((F.col("target.rank") >= F.col("first")) & (F.col("target.rank") < F.col("first") + F.col("n")))
+            .select("metric", "target", "value"))
+
+
 def quantiles_of_counts(counts: DataFrame, probs: list[float]) -> DataFrame:
-    bounds = counts.groupBy("metric").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total"))
-    width = (F.col("hi") - F.col("lo")) / _BUCKETS
-    position = F.when(width > 0, F.floor((F.col("value") - F.col("lo")) / width)).otherwise(F.lit(0))
-    # at most one row per column on the broadcast side
-    bucketed = counts.join(F.broadcast(bounds), "metric").withColumn(
-        "bucket", F.least(position, F.lit(_BUCKETS - 1)).cast("int"))
-
-    # at most _BUCKETS rows per column from here on
-    per_bucket = bucketed.groupBy("metric", "total", "bucket").agg(F.sum("n").alias("in_bucket"))
-    up_to = Window.partitionBy("metric").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    per_bucket = per_bucket.withColumn("before", F.sum("in_bucket").over(up_to) - F.col("in_bucket"))
-    wanted = F.explode(F.array(*[F.lit(p) for p in probs])).alias("prob")
-    rank = F.col("prob") * (F.col("total") - 1)
-    targets = per_bucket.select("*", wanted).withColumn(
-        "rank", F.explode(F.array_distinct(F.array(F.floor(rank), F.ceil(rank)))))
-    targets = targets.where((F.col("rank") >= F.col("before"))
-                            & (F.col("rank") < F.col("before") + F.col("in_bucket")))
-    targets = targets.select("metric", "bucket", "prob", "rank", "before")
-
-    # rank only the distinct values inside the buckets that hold a wanted rank
-    hit = F.broadcast(targets.select("metric", "bucket", "before").distinct())
-    inside = Window.partitionBy("metric", "bucket").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, 0)
-    # the total comes from this side, so both uses of ``bounds`` are one plan and its exchange is shared
-    ranked = bucketed.join(hit, ["metric", "bucket"]).select(
-        "metric", "bucket", "value", "n", "total",
-        (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("first"))
-    found = ranked.join(F.broadcast(targets.drop("before")), ["metric", "bucket"]).where(
-        (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n")))
+    share = lambda p: F.lit(p) * (F.col("total") - 1)
+    ends = [(F.floor(share(p)), F.ceil(share(p)), p) for p in probs]
+    targets = F.array(*[F.struct(F.lit(p).alias("prob"), at.cast("long").alias("rank"), (share(p) - low).alias("over"))
+                        for low, high, p in ends for at in (low, high)])
     low, high = F.min("value"), F.max("value")
-    share = F.col("prob") * (F.max("total") - 1)
-    return found.groupBy("metric", "prob").agg(
-        (low + (high - low) * (share - F.floor(share))).alias("quantile"))
+    return ranked_values(counts, targets).groupBy("metric", F.col("target.prob").alias("prob")).agg(
+        (low + (high - low) * F.max("target.over")).alias("quantile"))
 
 
 def pivot_quantiles(quantiles: DataFrame, names: dict[float, str]) -> DataFrame:

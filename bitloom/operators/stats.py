@@ -56,11 +56,38 @@ def domain_terms(df: DataFrame, limit: int | None = None) -> DataFrame:
     return terms.orderBy("word").limit(limit) if limit else terms
 
 
+def _tagged(kind: str, values) -> F.Column:
+    return F.struct(F.lit(kind).alias("kind"), values.alias("values"))
+
+
 def dataset_stats(df: DataFrame) -> DataFrame:
-    """All statistics of a pair table in one row."""
-    vocab = vocab_size(df).select(F.struct("vocab_size_source", "vocab_size_target")).scalar()
-    patterns = placeholder_inventory(df).agg(F.count(F.lit(1))).scalar()
-    terms = domain_terms(df).agg(F.sort_array(F.collect_list("word"))).scalar()
-    with_vocab = length_stats(df).withColumn("_v", vocab)
-    return with_vocab.select("*", "_v.*", patterns.alias("unique_patterns"),
-                             terms.alias("domain_terms")).drop("_v")
+    """All statistics of a pair table in one row, from one scan.
+
+    Every row gives tagged values: its distinct words per side, its distinct placeholders and its two
+    word counts (as one value). Equal (kind, value) are counted in one aggregation, and everything else
+    follows from these counts.
+    """
+    sides = df.select(
+        tx.words(F.col("source")).alias("s"), tx.words(F.col("target")).alias("t"),
+        tx.words(F.lower(F.col("source"))).alias("sl"), tx.words(F.lower(F.col("target"))).alias("tl"),
+        tx.placeholders(F.col("source")).alias("p"))
+    size = F.concat_ws(" ", *[F.coalesce(F.size(c), F.lit(-1)).cast("string") for c in "st"])  # -1: no text
+    tagged = sides.select(F.inline(F.array(
+        _tagged("source", F.array_distinct("sl")), _tagged("target", F.array_distinct("tl")),
+        _tagged("pattern", F.array_distinct("p")), _tagged("sizes", F.array(size)))))
+    counts = tagged.select("kind", F.explode("values").alias("value")).groupBy("kind", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    of = lambda kind: F.col("kind") == kind
+    side = {c: F.when(of("sizes"), F.nullif(F.split("value", " ")[i].cast("long"), F.lit(-1)))
+            for i, c in enumerate(("source", "target"))}
+    rows = F.sum(F.when(of("sizes"), F.col("n")))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    mean = lambda c: zero(F.sum(side[c] * F.col("n")) / F.sum(F.when(side[c].isNotNull(), F.col("n"))))
+    term = F.when(of("source") & tx.contains_any(F.col("value"), config.DOMAIN_STEMS), F.col("value"))
+    return counts.agg(
+        zero(rows).alias("num_samples"),
+        mean("source").alias("avg_source_length"), mean("target").alias("avg_target_length"),
+        zero(F.max(side["source"])).cast("int").alias("max_source_length"),
+        zero(F.max(side["target"])).cast("int").alias("max_target_length"),
+        F.count_if(of("source")).alias("vocab_size_source"), F.count_if(of("target")).alias("vocab_size_target"),
+        F.count_if(of("pattern")).alias("unique_patterns"), F.sort_array(F.collect_list(term)).alias("domain_terms"))

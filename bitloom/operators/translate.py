@@ -43,17 +43,36 @@ def _one_by_one(fn: Callable[[str], str], retries: int, pause: float):
     return udf.asNondeterministic()  # never called once more for a filter on its result
 
 
+def bisected(fn: Callable[[list[str]], list[str]], texts: list[str]) -> list[tuple]:
+    """(output, error) per text. A failing call is halved until the failing texts are alone, so a batch
+    with one bad text costs about two calls per halving and loses that text only. A call that returns
+    another number of outputs than texts has failed."""
+    out: list[tuple] = [(None, None)] * len(texts)
+    spans = [(0, len(texts))] if texts else []
+    while spans:
+        low, high = spans.pop()
+        try:
+            found = list(fn(texts[low:high]))
+            if len(found) != high - low:
+                raise ValueError(f"{len(found)} outputs for {high - low} texts")
+            out[low:high] = [(text, None) for text in found]
+        except Exception as exc:
+            if high - low == 1:
+                out[low] = (None, str(exc))
+            else:
+                middle = (low + high) // 2
+                spans += [(middle, high), (low, middle)]
+    return out
+
+
 def _batch_at_once(fn: Callable[[list[str]], list[str]]):
     @F.pandas_udf(_CALL)
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             start = time.time()
-            try:
-                output, error = list(fn(batch.tolist())), None
-            except Exception as exc:
-                output, error = [None] * len(batch), str(exc)
+            rows = bisected(fn, batch.tolist())
             share = (time.time() - start) / max(len(batch), 1)
-            yield pd.DataFrame({"output": output, "error": error, "seconds": share})
+            yield pd.DataFrame({"output": [o for o, _ in rows], "error": [e for _, e in rows], "seconds": share})
     return udf.asNondeterministic()  # never called once more for a filter on its result
 
 
@@ -78,8 +97,9 @@ def translate_column(df: DataFrame, fn: Callable, column: str = "source", mode:
     Text is cut only when ``max_length`` is given, with a warning in either mode.
 
     mode "row": ``fn(text)`` per row with retries; after the last failure the word dictionary
-    translates the source. mode "batch": ``fn(texts)`` once per Arrow batch, no validation and no
-    retry; a failing batch gets the constant fallback text.
+    translates the source. mode "batch": ``fn(texts)`` per Arrow batch, no validation and no
+    retry; a failing batch is halved until the failing texts are alone, which get the constant fallback
+    text.
     """
     cut = max_length is not None
     max_length = max_length if cut else _UNBOUNDED

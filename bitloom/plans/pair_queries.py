@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitloom.config import CORPUS_SCRIPT_BOUNDS
+from bitloom.config import CORPUS_SCRIPT_BOUNDS, FEATURE_TERMS
 from bitloom.functions import text as tx
-from bitloom.operators import filters, prepare_text, ranks, split, stats
+from bitloom.operators import filters, ranks, split, stats
 from bitloom.plans import prepare, views
 from bitloom.session import work_dir
-from bitloom.sources import lines, po, sinks, tables
+from bitloom.sources import cascade, lines, po, sinks, tables
 
 QUERIES, ORACLES = {}, {}
 
@@ -287,22 +287,107 @@ def processed_roundtrip(spark, folder):
     return sinks.load_processed(spark, base, "train").withColumn("n_metadata", F.size("metadata")).drop("metadata")
 
 
-@query(r"""SELECT 'flores_' || row_idx AS sample_id, row_idx, source, target, 'general' AS domain FROM (
-SELECT d.doc_id AS row_idx, d.text AS source, p.html AS target FROM documents d JOIN pages p ON p.page_id = d.doc_id)""")
+@query("""SELECT 'flores_' || doc_id AS sample_id, doc_id AS row_idx, text AS source, 'nl: ' || text AS target, 'general' AS domain
+FROM documents""")
 def benchmark_alignment(spark, folder):
-    left = views.table(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("sentence"))
-    right = views.table(spark, folder, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("sentence"))
-    return tables.align_benchmark(left, right).drop("source_lang", "target_lang")
+    """Two monolingual tables, here the documents and the documents behind a mark, joined on the id."""
+    side = lambda text: views.table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), text.alias("sentence"))
+    aligned = tables.align_benchmark(side(F.col("text")), side(F.concat(F.lit("nl: "), "text")))
+    return aligned.drop("source_lang", "target_lang")
 
 
-@query(views.sql(views.DECORATED) + """
-SELECT sample_id, source AS original_source, translation AS original_target, 'docs' AS origin FROM v_decorated""")
-def preprocessed_originals(spark, folder):
-    """Originals kept in the metadata by preprocessing, next to earlier metadata."""
-    rows = _decorated_pairs(spark, folder).withColumn("metadata", F.create_map(F.lit("origin"), F.lit("docs")))
-    out = prepare_text.preprocess_pairs(rows)
-    return out.select("sample_id", *[F.col("metadata")[k].alias(k)
-                                     for k in ("original_source", "original_target", "origin")])
+@query(views.sql(views.PAIRS) + """SELECT sample_id, source, target, 'en' AS source_lang, 'nl' AS target_lang,
+  'chat' AS domain, length(source) AS source_chars FROM v_pairs""")
+def json_array_roundtrip(spark, folder):
+    """Pairs written as JSON arrays with nested metadata and read back, several tasks per file."""
+    path = work_dir(spark)
+    rows = views.pairs(spark, folder).select(
+        "source", "target", F.lit("en").alias("source_lang"), F.lit("nl").alias("target_lang"),
+        F.lit("chat").alias("domain"), "sample_id",
+        F.create_map(F.lit("source_chars"), F.char_length("source").cast("string")).alias("metadata"))
+    sinks.save_json_array(rows, path)
+    back = tables.read_json_array(spark, path)
+    return back.withColumn("source_chars", F.col("metadata")["source_chars"].cast("int")).drop("metadata")
+
+
+_AS_LINES = r"""'- ' || trim(regexp_replace({c}, '\s+', ' ', 'g'))"""
+
+
+def _aligned_files(spark, folder, base):
+    """Both sides of the pairs as text, one line per pair, under the known names."""
+    line = lambda c: F.concat(F.lit("- "), tx.collapse_whitespace(F.col(c)))
+    rows = prepare.stored(views.pairs(spark, folder).select("row_idx", line("source").alias("source"), line("target").alias("target"))
+                          .repartition(8, "row_idx").sortWithinPartitions("row_idx"))
+    for side, name in zip(("source", "target"), lines.ALIGNED_NAMES[0]):
+        rows.select(side).write.text(f"{base}/{name}")
+
+
+_LINE_PAIRS = views.sql(views.PAIRS) + f""", v_lines AS (
+  SELECT sample_id, {_AS_LINES.format(c='source')} AS source, {_AS_LINES.format(c='target')} AS target FROM v_pairs)
+"""
+
+
+@query(_LINE_PAIRS + "SELECT source, target, 'software' AS domain FROM v_lines")
+def aligned_folder(spark, folder):
+    base = work_dir(spark)
+    _aligned_files(spark, folder, base)
+    return lines.read_aligned_folder(spark, base).select("source", "target", "domain")
+
+
+@query(_LINE_PAIRS + """SELECT 'processed' AS origin, source, target FROM v_pairs
+UNION ALL SELECT 'aligned', source, target FROM v_lines UNION ALL SELECT 'most', source, target FROM v_lines""")
+def training_cascade(spark, folder):
+    """The processed file wins; without one, the aligned text is read; then the same with a bound."""
+    base = work_dir(spark)
+    _aligned_files(spark, folder, f"{base}/raw")
+    sinks.save_json_array(views.pairs(spark, folder).select("source", "target", "sample_id"), f"{base}/processed")
+    found = {"processed": cascade.load_training(spark, f"{base}/raw", f"{base}/processed"),
+             "aligned": cascade.load_training(spark, f"{base}/raw", f"{base}/none"),
+             "most": cascade.load_training(spark, f"{base}/raw", max_samples=1 << 30)}
+    parts = [rows.select(F.lit(name).alias("origin"), "source", "target") for name, rows in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_KEPT_LINES = _LINE_PAIRS.replace("v_lines AS", "v_lines0 AS").replace("v_pairs AS", "v_given AS").replace(
+    "FROM v_pairs", "FROM v_given") + ", v_pairs AS (SELECT sample_id, 0 AS row_idx, source, target FROM v_lines0)" + _reasons(3, 150)
+
+
+def _corpus_job(spark, folder):
+    """Aligned files of the pairs, filtered, split and written; the output folder and the reject counts."""
+    base = work_dir(spark)
+    _aligned_files(spark, folder, base)
+    source, target = lines.ALIGNED_NAMES[0]
+    job = prepare.CorpusJob(f"{base}/{source}", f"{base}/{target}", f"{base}/out")
+    return job, prepare.prepare_corpus(spark, job, test=views.pairs(spark, folder))
+
+
+@query(_KEPT_LINES + """, k AS (SELECT source, target FROM v_judged WHERE reject_reason IS NULL)
+SELECT 'corpus' AS part, source, target FROM k UNION ALL SELECT 'tsv', source, target FROM k
+UNION ALL SELECT 'test', source, target FROM v_given""")
+def prepare_corpus_job(spark, folder):
+    """All rows that the job wrote: train and val (read as jsonl and as tsv) and test."""
+    job, _ = _corpus_job(spark, folder)
+    read = lambda part, name, rows: rows(spark, f"{job.output}/{name}").select(
+        F.lit(part).alias("part"), "source", "target")
+    out = read("test", "test.jsonl", tables.read_jsonl)
+    for name in ("train", "val"):
+        out = out.unionByName(read("corpus", f"{name}.jsonl", tables.read_jsonl)).unionByName(
+            read("tsv", f"{name}.tsv", sinks.read_tsv))
+    return out
+
+
+@query(_KEPT_LINES + """, c AS (SELECT count(*) AS n FROM v_judged WHERE reject_reason IS NULL)
+SELECT r.name, count(j.sample_id) AS n FROM (VALUES ('empty'), ('too_short'), ('too_long'), ('mismatch')) r(name)
+LEFT JOIN v_judged j ON j.reject_reason = r.name GROUP BY 1
+UNION ALL SELECT 'val', floor(n * 0.05)::BIGINT FROM c UNION ALL SELECT 'train', n - floor(n * 0.05)::BIGINT FROM c""")
+def prepare_corpus_counts(spark, folder):
+    job, rejected = _corpus_job(spark, folder)
+    out = rejected.select(F.col("reject_reason").alias("name"), "n")
+    for name in ("train", "val"):
+        out = out.unionByName(tables.read_jsonl(spark, f"{job.output}/{name}.jsonl").agg(
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")))
+    return out
 
 
 @query(views.sql(views.PAIRS) + _reasons(5, 200) + rf"""
@@ -313,9 +398,11 @@ SELECT 'software/IT' AS domain, (SELECT (n * 0.9)::BIGINT - CASE WHEN (n * 0.9):
   (SELECT round(avg(s), 6) FROM v_counted) AS avg_source_length, (SELECT round(avg(t), 6) FROM v_counted) AS avg_target_length,
   (SELECT count(*) FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(source), '\S+')) FROM v_pairs)) AS vocab_size_source,
   (SELECT count(*) FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(target), '\S+')) FROM v_pairs)) AS vocab_size_target,
-  (SELECT count(*) FROM v_pairs WHERE len({_PLACEHOLDERS}) > 0) AS samples_with_placeholders""")
+  (SELECT count(*) FROM v_pairs WHERE len({_PLACEHOLDERS}) > 0) AS samples_with_placeholders,
+  (SELECT count(*) FROM v_pairs WHERE {" OR ".join(f"contains(lower(source), '{t}')" for t in FEATURE_TERMS)}) AS samples_with_tech_terms""")
 def preparation_summary(spark, folder):
-    train = kept_pairs(spark, folder)
-    out = prepare.summary(split.split_head_tail(train), views.pairs(spark, folder), "software/IT")
-    return rounded(out.drop("samples_with_tech_terms"))
-
+    """The whole preparation job: preprocesses, splits, featurises, stores and reports; the report is
+    read back from its file."""
+    base = work_dir(spark)
+    out = prepare.prepare_dataset(spark, kept_pairs(spark, folder), views.pairs(spark, folder), base)
+    return rounded(spark.read.schema(out.schema).json(f"{base}/data_summary"))

@@ -72,11 +72,12 @@ def summary(train: DataFrame, test: DataFrame, domain: str) -> DataFrame:
 
 def prepare_dataset(spark: SparkSession, train: DataFrame, test: DataFrame, output: str,
                     domain: str = "software/IT",
-                    cfg: config.PreprocessConfig = config.PreprocessConfig()) -> DataFrame:
-    """Preprocesses, featurises, splits and stores; returns the summary row."""
+                    cfg: config.PreprocessConfig = config.PreprocessConfig(), repeat_small: int = 0) -> DataFrame:
+    """Preprocesses, featurises, splits and stores; returns the summary row. ``repeat_small`` as in
+    ``split_head_tail``."""
     test = stored(test)
     processed = stored(prepare_text.preprocess_pairs(train, cfg))
-    parts = split.split_head_tail(processed)
+    parts = split.split_head_tail(processed, repeat_small=repeat_small)
     for name in ("train", "val"):
         sinks.save_processed(parts.where(F.col("split") == name), output, name)
     sinks.save_processed(prepare_text.preprocess_pairs(test, cfg), output, "test")

@@ -9,6 +9,8 @@ from bitloom.operators import compare, metrics, qe, translate
 from bitloom.plans import views
 from bitloom.plans.pair_queries import rounded
 from bitloom.session import work_dir
+from bitloom.sources import sinks, tables
+from bitloom.sources.records import read_quoted_table
 from bitloom.streaming import dedup, files, gate, monitor
 
 QUERIES, ORACLES = {}, {}
@@ -94,14 +96,18 @@ def bleu_sentence(spark, folder):
     return rounded(metrics.sentence_bleu(views.eval_rows(spark, folder)).select("sample_id", "bleu"))
 
 
-_CHRF = (views.sql(views.EVAL) + rf""", chars AS (SELECT sample_id, 1 AS grp, CASE WHEN hypothesis <> '' THEN string_split(regexp_replace(hypothesis, '\s+', '', 'g'), '') ELSE [] END AS h,
+def _chrf_sql(group: str) -> str:
+    return (rf""", chars AS (SELECT sample_id, {group} AS grp, CASE WHEN hypothesis <> '' THEN string_split(regexp_replace(hypothesis, '\s+', '', 'g'), '') ELSE [] END AS h,
   CASE WHEN reference <> '' THEN string_split(regexp_replace(reference, '\s+', '', 'g'), '') ELSE [] END AS r FROM v_eval)
-, edge AS (SELECT sample_id, 1 AS grp, {_edge_words('hypothesis')} AS h, {_edge_words('reference')} AS r FROM v_eval)"""
-         + _grams("cc", "chars", 6, "") + _grams("cw", "edge", 2, " ", first=6)
-         + """, o AS (SELECT sample_id, n, m, CASE WHEN r > 0 THEN h ELSE 0 END AS h, r FROM (SELECT * FROM cc_m UNION ALL SELECT * FROM cw_m))
+, edge AS (SELECT sample_id, {group} AS grp, {_edge_words('hypothesis')} AS h, {_edge_words('reference')} AS r FROM v_eval)"""
+            + _grams("cc", "chars", 6, "") + _grams("cw", "edge", 2, " ", first=6)
+            + """, o AS (SELECT sample_id, grp, n, m, CASE WHEN r > 0 THEN h ELSE 0 END AS h, r FROM (SELECT * FROM cc_m UNION ALL SELECT * FROM cw_m))
 """)
 
 
+_CHRF = views.sql(views.EVAL).rstrip() + _chrf_sql("1")
+
+
 def _f_score(rows: str, key: str) -> str:
     return f"""SELECT {key} round(CASE WHEN p + r > 0 THEN 500 * p * r / (4 * p + r) ELSE 0 END::DOUBLE, 6) AS chrf_pp
 FROM (SELECT {key} coalesce(avg(m / h) FILTER (h > 0 AND r > 0), 0) AS p, coalesce(avg(m / r) FILTER (h > 0 AND r > 0), 0) AS r
@@ -118,25 +124,78 @@ def chrf_sentence(spark, folder):
     return rounded(metrics.sentence_chrf(views.eval_rows(spark, folder)).select("sample_id", "chrf_pp"))
 
 
-@query()
+# A hypothesis of the view is its reference without some words, so the lower bound of the edits, the
+# difference in length, is met without a shift.
+_TER = views.sql(views.EVAL) + r""", t AS (SELECT sample_id, lang, len(regexp_extract_all(reference, '\S+')) AS ref_len,
+  len(regexp_extract_all(reference, '\S+')) - len(regexp_extract_all(hypothesis, '\S+')) AS edits FROM v_eval)
+"""
+
+
+@query(_TER + """SELECT lang, round(CASE WHEN sum(ref_len) > 0 THEN 100.0 * sum(edits) / sum(ref_len) ELSE 0 END::DOUBLE, 6) AS ter,
+  sum(edits)::BIGINT AS edits, 0::BIGINT AS shifts, sum(ref_len)::BIGINT AS ref_len FROM t GROUP BY lang""")
 def ter_corpus(spark, folder):
     return rounded(metrics.corpus_ter(views.eval_rows(spark, folder), ["lang"]))
 
 
-@query()
+@query(_TER + """SELECT sample_id, round(CASE WHEN ref_len > 0 THEN 100.0 * edits / ref_len ELSE 0 END::DOUBLE, 6) AS ter,
+  edits::BIGINT AS ter_edits, ref_len::BIGINT AS ter_ref_len FROM t""")
 def ter_sentence(spark, folder):
     return rounded(metrics.sentence_ter(views.eval_rows(spark, folder)).select(
         "sample_id", "ter", "ter_edits", "ter_ref_len"))
 
 
 @query()
+def ter_moved_phrases(spark, folder):
+    """The third to fifth word of every reference come first in its hypothesis, so a shift is needed."""
+    words = F.split("reference", " ")
+    rows = views.eval_rows(spark, folder).withColumn("hypothesis", F.array_join(
+        F.concat(F.slice(words, 3, 3), F.slice(words, 1, 2), F.slice(words, 6, F.greatest(F.size(words), F.lit(1)))), " "))
+    return rounded(metrics.corpus_ter(rows, ["lang"]))
+
+
+_ALL_METRICS = (_bleu_sql("lang") + """, l AS (SELECT grp, sum(hl) AS hyp_len, sum(rl) AS ref_len, count(*) AS num_samples FROM len GROUP BY 1)
+, s AS (SELECT grp, n, sum(m) AS m, sum(h) AS t FROM b_m GROUP BY ALL)
+, p AS (SELECT grp, n, 100.0 * m / t AS p FROM s)
+, v_bleu AS (SELECT grp AS lang, num_samples, CASE WHEN hyp_len < ref_len THEN exp(1 - ref_len / hyp_len) ELSE 1 END * exp(sum(ln(p)) / 4) AS bleu,
+  CASE WHEN hyp_len < ref_len THEN exp(1 - ref_len / hyp_len) ELSE 1 END::DOUBLE AS bp, max(p) FILTER (n = 1) AS precision_1,
+  max(p) FILTER (n = 2) AS precision_2, max(p) FILTER (n = 3) AS precision_3, max(p) FILTER (n = 4) AS precision_4
+  FROM p JOIN l USING (grp) GROUP BY grp, num_samples, hyp_len, ref_len)
+""" + _chrf_sql("lang") + """, cs AS (SELECT grp, n, sum(m) AS m, sum(h) AS h, sum(r) AS r FROM o GROUP BY ALL)
+, v_chrf AS (SELECT lang, CASE WHEN p + r > 0 THEN 500 * p * r / (4 * p + r) ELSE 0 END AS chrf_pp FROM (
+  SELECT grp AS lang, coalesce(avg(m / h) FILTER (h > 0 AND r > 0), 0) AS p, coalesce(avg(m / r) FILTER (h > 0 AND r > 0), 0) AS r FROM cs GROUP BY 1))
+""" + _TER.removeprefix(views.sql(views.EVAL)) + """, v_ter AS (SELECT lang, 100.0 * sum(edits) / sum(ref_len) AS ter FROM t GROUP BY lang)
+""")
+
+
+@query(_ALL_METRICS + ", " + views.SCORES + """
+, v_neural AS (SELECT lang, avg(comet) AS comet, avg(bert_f1) AS bert_score FROM v_scores JOIN v_eval USING (sample_id) GROUP BY lang)
+, m AS (SELECT * FROM v_bleu JOIN v_chrf USING (lang) JOIN v_ter USING (lang) JOIN v_neural USING (lang))
+SELECT lang, num_samples, round(bleu, 6) AS bleu, round(bp, 6) AS bp, round(precision_1, 6) AS precision_1,
+  round(precision_2, 6) AS precision_2, round(precision_3, 6) AS precision_3, round(precision_4, 6) AS precision_4,
+  round(chrf_pp, 6) AS chrf_pp, round(ter, 6) AS ter, round(comet, 6) AS comet, round(bert_score, 6) AS bert_score,
+  round(({bleu} * bleu / 100 + {chrf_pp} * chrf_pp / 100 + {ter} * greatest(0, 1 - ter / 100) + {comet} * comet
+    + {bert_score} * bert_score) / ({bleu} + {chrf_pp} + {ter} + {comet} + {bert_score}), 6) AS aggregate_score
+FROM m""".format(**config.AGGREGATE_WEIGHTS))
 def evaluation_by_lang(spark, folder):
     return rounded(metrics.evaluate(views.with_scores(views.eval_rows(spark, folder)), ["lang"]))
 
 
 @query()
 def evaluation_json(spark, folder):
-    return metrics.result_json(metrics.evaluate(views.eval_rows(spark, folder), ["lang"], metrics=["bleu", "chrf_pp"]))
+    """All metrics of every language as nested JSON."""
+    return metrics.result_json(metrics.evaluate(views.with_scores(views.eval_rows(spark, folder)), ["lang"]))
+
+
+@query(_bleu_sql("1") + """, o1 AS (SELECT sample_id, n, m, h AS t, sum(CASE WHEN m = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY sample_id ORDER BY n) AS k
+  FROM b_m WHERE h > 0)
+, e AS (SELECT sample_id, exp(avg(ln(CASE WHEN m = 0 THEN 100.0 / (pow(2, k) * t) ELSE 100.0 * m / t END))) AS g, sum(m) AS any_match FROM o1 GROUP BY 1)
+, sb AS (SELECT sample_id, round(CASE WHEN coalesce(any_match, 0) = 0 OR hl = 0 THEN 0
+  WHEN hl < rl THEN exp(1 - rl / hl) * g ELSE g END::DOUBLE, 6) AS bleu FROM len LEFT JOIN e USING (sample_id))
+""" + _chrf_sql("1") + ", sc AS (" + _f_score("o", "sample_id,") + """)
+SELECT sample_id, hypothesis, reference, bleu, coalesce(chrf_pp, 0) AS chrf FROM v_eval JOIN sb USING (sample_id) LEFT JOIN sc USING (sample_id)""")
+def sample_scores(spark, folder):
+    rows = metrics.sample_scores(views.eval_rows(spark, folder))
+    return rounded(rows.select("sample_id", "hypothesis", "reference", "bleu", "chrf"))
 
 
 _CHARS = views.sql(views.EVAL) + r""", tok AS (SELECT sample_id, lang AS grp,
@@ -155,9 +214,14 @@ def spm_bleu_by_lang(spark, folder):
     return rounded(metrics.spm_bleu(views.eval_rows(spark, folder), pieces, ["lang"])).drop("chrf_pp")
 
 
-@query()
+@query(_CHARS.replace(", s AS (SELECT grp, n, 100.0", ", sp AS (SELECT grp, n, 100.0") + ", v_bleu AS (SELECT grp AS lang, "
+       "CASE WHEN hl < rl THEN exp(1 - rl / hl) ELSE 1 END * exp(sum(ln(p)) / 4) AS sp_bleu FROM sp JOIN l USING (grp) GROUP BY grp, hl, rl)\n"
+       + _chrf_sql("lang") + """, cs AS (SELECT grp, n, sum(m) AS m, sum(h) AS h, sum(r) AS r FROM o GROUP BY ALL)
+, v_chrf AS (SELECT lang, CASE WHEN p + r > 0 THEN 500 * p * r / (4 * p + r) ELSE 0 END AS chrf_pp FROM (
+  SELECT grp AS lang, coalesce(avg(m / h) FILTER (h > 0 AND r > 0), 0) AS p, coalesce(avg(m / r) FILTER (h > 0 AND r > 0), 0) AS r FROM cs GROUP BY 1))
+SELECT lang, round(sp_bleu, 6) AS sp_bleu, round(chrf_pp, 6) AS chrf_pp FROM v_bleu JOIN v_chrf USING (lang)""")
 def spm_bleu(spark, folder):
-    """BLEU over user tokens: here the characters of every word."""
+    """BLEU and chrF++ over user tokens: here the characters of every word."""
     pieces = translate.tokenizer(lambda text: [c for word in text.split() for c in word])
     return rounded(metrics.spm_bleu(views.eval_rows(spark, folder), pieces, ["lang"]))
 
@@ -399,6 +463,23 @@ def qe_report(spark, folder):
     return report.withColumn("error_types", F.array_join("error_types", ","))
 
 
+@query(ORACLES["qe_report"])
+def csv_report_roundtrip(spark, folder):
+    """The report written as CSV with quoted fields and read back by several tasks per file."""
+    path = work_dir(spark)
+    report = qe_report(spark, folder)
+    sinks.write_csv_report(report, path)
+    return read_quoted_table(spark, path, report.schema, header=True).na.fill("")
+
+
+@query(ORACLES["qe_report"])
+def json_report_roundtrip(spark, folder):
+    path = work_dir(spark)
+    report = qe_report(spark, folder)
+    sinks.write_json_report(report, path)
+    return tables.read_jsonl(spark, path, report.schema)
+
+
 # --- translation -----------------------------------------------------------------------------------
 def _upper_or_fail(text: str) -> str:
     if text.endswith("Bluetooth") or text.endswith("__"):
@@ -408,6 +489,7 @@ def _upper_or_fail(text: str) -> str:
 
 @query()
 def translate_guarded(spark, folder):
+    """Per-row calls with retries and the word dictionary as fallback; tests recompute some rows."""
     rows = views.decorated(spark, folder).select("sample_id", "source")
     out = translate.translate_column(rows, _upper_or_fail, pause=0.0, max_length=200_000)
     return out.select("sample_id", "processed_input", "output", "warnings", "fallback_used")
@@ -421,6 +503,23 @@ def translate_batch(spark, folder):
     return out.select("sample_id", "output", "fallback_used")
 
 
+def _fails_on_some(texts: list[str]) -> list[str]:
+    if any("thth" in t for t in texts):
+        raise ValueError("no model for one of these texts")
+    return [t + " ok" for t in texts]
+
+
+@query(views.sql(views.DECORATED) + f"""
+SELECT sample_id, contains(source, 'thth') AS fallback_used,
+  CASE WHEN contains(source, 'thth') THEN '{config.FALLBACK_TEXT}' ELSE replace(source, '™', 'TM') || ' ok' END AS output
+FROM v_decorated""")
+def translate_batch_failing(spark, folder):
+    """Texts that the function refuses get the fallback text; their neighbours are translated."""
+    rows = views.decorated(spark, folder).select("sample_id", "source")
+    out = translate.translate_column(rows, _fails_on_some, mode="batch", max_length=1_000_000)
+    return out.select("sample_id", "fallback_used", "output")
+
+
 @query(views.sql(views.EVAL) + """
 SELECT sample_id, round(CASE WHEN length(reference) > 0 THEN length(hypothesis) / length(reference) ELSE 0 END::DOUBLE, 6) AS score FROM v_eval""")
 def user_scorer(spark, folder):
@@ -451,12 +550,11 @@ def monitor_windows_batch(spark, folder):
     return _plain_time(rounded(monitor.window_metrics(views.as_requests(views.table(spark, folder, "events")))))
 
 
-@query(views.sql(views.REQUESTS) + _WINDOW.format(w="date_trunc('hour', ts)", rows="v_requests")
-       + " HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM v_requests)")
+@query(views.sql(views.REQUESTS) + _WINDOW.format(w="date_trunc('hour', ts)", rows="v_requests"))
 def monitor_windows_stream(spark, folder):
-    """The stream closes every window that ends before the watermark."""
+    """The stream is ended, so the last window comes out as well."""
     stream = views.as_requests(files.table_stream(spark, folder, "events"))
-    return _plain_time(rounded(files.drain(monitor.window_metrics(stream))))
+    return _plain_time(rounded(monitor.window_metrics(stream)))
 
 
 @query(views.sql(views.REQUESTS) + ", s AS (SELECT *, unnest([0, 1]) AS back FROM v_requests)\n" + _WINDOW.format(
@@ -470,9 +568,10 @@ def monitor_sliding_windows(spark, folder):
 def stream_qe_gate(spark, folder):
     base = work_dir(spark)
     docs = files.table_stream(spark, folder, "documents")
-    run = gate.run_gate(views.with_scores(views.decorate(docs)), f"{base}/accepted", f"{base}/rejected", f"{base}/state")
-    run.awaitTermination()
-    both = [spark.read.parquet(f"{base}/{side}") for side in ("accepted", "rejected")]
+    rows = views.with_scores(views.decorate(docs))
+    gate.run_gate(rows, f"{base}/accepted", f"{base}/rejected", f"{base}/state").awaitTermination()
+    schema = gate.gated(rows).schema
+    both = [files.read_written(spark, f"{base}/{side}", schema) for side in ("accepted", "rejected")]
     return both[0].unionByName(both[1]).select("sample_id", "accepted")
 
 

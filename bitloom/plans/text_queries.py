@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bitloom import config
 from bitloom.functions import prompts, protect
 from bitloom.functions import text as tx
-from bitloom.operators import augment, features, glossary, store
+from bitloom.operators import augment, features, glossary, prepare_text, store
 from bitloom.plans import views
 from bitloom.plans.pair_queries import rounded
 from bitloom.session import work_dir
@@ -147,30 +147,42 @@ def _first_replaced(text: str, found: str, token: str) -> str:
     return f"left({text}, {at} - 1) || {token} || substr({text}, {at} + length({found}))"
 
 
-def _preprocess_sql() -> str:
+def _preprocess_sql(column: str = "source", p: str = "") -> str:
     """Ordered fold over the distinct placeholders of the first and third pattern (the texts hold no
-    other ones); at most two numbers and three percent forms can be distinct."""
+    other ones); at most two numbers and three percent forms can be distinct. ``p``: prefix of its CTEs."""
     ordered = "list_filter({0}, lambda x, i: list_position({0}, x) = i)"
-    steps = [r""", n0 AS (SELECT sample_id, replace(source, '™', 'TM') AS t FROM v_decorated)
-, n1 AS (SELECT *, t AS s0, regexp_extract_all(t, '\{\d+\}') AS a FROM n0)
-, n2 AS (SELECT *, """ + ordered.format("a") + " AS d FROM n1)"]
+    steps = [rf""", {p}n0 AS (SELECT sample_id, replace({column}, '™', 'TM') AS t FROM v_decorated)
+, {p}n1 AS (SELECT *, t AS s0, regexp_extract_all(t, '\{{\d+\}}') AS a FROM {p}n0)
+, {p}n2 AS (SELECT *, """ + ordered.format("a") + f" AS d FROM {p}n1)"]
     for j in (1, 2):
-        steps.append(f""", n{2 + j} AS (SELECT *, CASE WHEN len(d) >= {j} THEN {_first_replaced(f's{j - 1}', f'd[{j}]', f"'__PLACEHOLDER_NUM_{j - 1}__'")} ELSE s{j - 1} END AS s{j} FROM n{1 + j})""")
-    steps.append(", m0 AS (SELECT *, s2 AS q0, regexp_extract_all(s2, '%[sd%]') AS b FROM n4)")
-    steps.append(", m1 AS (SELECT *, " + ordered.format("b") + " AS e FROM m0)")
+        steps.append(f""", {p}n{2 + j} AS (SELECT *, CASE WHEN len(d) >= {j} THEN {_first_replaced(f's{j - 1}', f'd[{j}]', f"'__PLACEHOLDER_NUM_{j - 1}__'")} ELSE s{j - 1} END AS s{j} FROM {p}n{1 + j})""")
+    steps.append(f", {p}m0 AS (SELECT *, s2 AS q0, regexp_extract_all(s2, '%[sd%]') AS b FROM {p}n4)")
+    steps.append(f", {p}m1 AS (SELECT *, " + ordered.format("b") + f" AS e FROM {p}m0)")
     for j in (1, 2, 3):
         token = f"'__PERCENT_' || (len(d) + {j - 1}) || '__'"
-        steps.append(f""", m{1 + j} AS (SELECT *, CASE WHEN len(e) >= {j} THEN {_first_replaced(f'q{j - 1}', f'e[{j}]', token)} ELSE q{j - 1} END AS q{j} FROM m{j})""")
+        steps.append(f""", {p}m{1 + j} AS (SELECT *, CASE WHEN len(e) >= {j} THEN {_first_replaced(f'q{j - 1}', f'e[{j}]', token)} ELSE q{j - 1} END AS q{j} FROM {p}m{j})""")
     clean = lambda c: _PUNCT.format(_WS.format(c))
-    return "\n".join(steps) + f"\nSELECT sample_id, {clean('q3')} AS text, {clean('t')} AS restored FROM m4"
+    steps.append(f", {p}done AS (SELECT sample_id, {clean('q3')} AS text, {clean('t')} AS restored FROM {p}m4)")
+    return "\n".join(steps) + "\n"
 
 
-@query(views.sql(views.DECORATED) + _preprocess_sql())
+@query(views.sql(views.DECORATED) + _preprocess_sql() + "SELECT * FROM done")
 def preprocess_full(spark, folder):
     held = views.decorated(spark, folder).select("sample_id", protect.preprocess(F.col("source")).alias("p"))
     return held.select("sample_id", "p.text", protect.postprocess(F.col("p.text"), F.col("p.tokens")).alias("restored"))
 
 
+@query(views.sql(views.DECORATED) + _preprocess_sql("source", "s_") + _preprocess_sql("translation", "t_") + """
+SELECT sample_id, s_done.text AS source, t_done.text AS target, d.source AS original_source,
+  d.translation AS original_target, 'docs' AS origin FROM v_decorated d JOIN s_done USING (sample_id) JOIN t_done USING (sample_id)""")
+def preprocessed_originals(spark, folder):
+    """Preprocessed pairs; the originals are kept in the metadata, next to earlier metadata."""
+    rows = views.decorated(spark, folder).withColumnRenamed("translation", "target")
+    out = prepare_text.preprocess_pairs(rows.withColumn("metadata", F.create_map(F.lit("origin"), F.lit("docs"))))
+    return out.select("sample_id", "source", "target", *[
+        F.col("metadata")[k].alias(k) for k in ("original_source", "original_target", "origin")])
+
+
 _FEATURES = rf""", f AS (SELECT *, {_WORDS.format('source')} AS sw, {_WORDS.format('translation')} AS tw,
   list_concat(regexp_extract_all(source, '\{{[^}}]+\}}'), regexp_extract_all(source, '%[sd%]')) AS ph FROM v_decorated)
 , features AS (SELECT sample_id, length(source) AS source_length_chars, len(sw) AS source_length_words,
@@ -226,32 +238,40 @@ def feature_flag_counts(spark, folder):
     return features.flag_counts(_features(spark, folder))
 
 
-_STORED = ["sample_id", "source_length_chars", "target_length_words", "num_placeholders", "has_urls"]
+def _canonical(features_sql: str) -> str:
+    """The rows of ``features`` as text, fields in the order of their names."""
+    kinds = {"double": "coalesce(round({c}, 9)::DECIMAL(38,9)::VARCHAR, chr(30))",
+             "other": "coalesce({c}::VARCHAR, chr(30))"}
+    doubles = {"source_avg_word_length", "target_avg_word_length", "length_ratio", "lexical_diversity_source",
+               "lexical_diversity_target"}
+    parts = [kinds["double" if c in doubles else "other"].format(c=c) for c in sorted(features.NAMES)]
+    return f"SELECT md5({' || chr(31) || '.join(parts)}) AS m FROM {features_sql}"
 
 
-@query(views.sql(views.DECORATED) + _FEATURES + """, j AS (SELECT '{"sample_id":"' || sample_id || '","source_length_chars":' || source_length_chars
-  || ',"target_length_words":' || target_length_words || ',"num_placeholders":' || num_placeholders
-  || ',"has_urls":' || has_urls || '}' AS row FROM features)
-SELECT 'decorated' AS name, count(*) AS count, sum(('0x' || substr(md5(row), 1, 8))::BIGINT)::VARCHAR AS content_hash FROM j""")
+@query(views.sql(views.DECORATED) + _FEATURES + f""", j AS ({_canonical('features')})
+SELECT 'decorated' AS name, count(*) AS count, sum(('0x' || substr(m, 1, 15))::BIGINT::HUGEINT)::VARCHAR || ':'
+  || sum(('0x' || substr(m, 16, 15))::BIGINT::HUGEINT)::VARCHAR AS content_hash FROM j""")
 def feature_store_manifest(spark, folder):
     base = store.FeatureStore(spark, work_dir(spark))
-    base.store("decorated", _features(spark, folder).select(*_STORED))
+    base.store("decorated", features.flatten_lists(_features(spark, folder)))
     return base.manifest().drop("path")
 
 
-@query(views.sql(views.DECORATED) + _FEATURES
-       + "SELECT sample_id, source_length_chars, target_length_words, num_placeholders, has_urls FROM features")
+@query(ORACLES["pair_features"])
 def feature_store_load(spark, folder):
+    """All feature columns, stored twice: the second version is the one that loads."""
     base = store.FeatureStore(spark, work_dir(spark))
-    base.store("decorated", _features(spark, folder).select(*_STORED))
-    return base.load("decorated")
+    rows = features.flatten_lists(_features(spark, folder))
+    base.store("decorated", rows.where("num_placeholders > 1"))
+    base.store("decorated", rows)
+    return rounded(base.load("decorated"))
 
 
 # --- glossary ------------------------------------------------------------------------------------
 # Terms for the lookups come from the texts: the most frequent words stand in for a glossary.
-_FREQ = rf"""freq AS (SELECT w AS word, count(*) AS n FROM
+_FREQ = rf"""freq AS MATERIALIZED (SELECT w AS word, count(*) AS n FROM
   (SELECT unnest(regexp_extract_all(lower(text), '\S+')) AS w FROM documents) GROUP BY 1)
-, terms AS (SELECT word AS term, '<' || word || '>' AS translation FROM freq WHERE n >= 20)"""
+, terms AS MATERIALIZED (SELECT word AS term, '<' || word || '>' AS translation FROM freq WHERE n >= 20)"""
 
 
 def _text_glossary(spark, folder):
@@ -271,20 +291,20 @@ def glossary_lookup(spark, folder):
         F.min("translation").alias("first_translation"))
 
 
-@query(f"WITH {_FREQ} SELECT word, n FROM freq WHERE word NOT IN (SELECT term FROM terms)")
+@query(f"WITH {_FREQ} SELECT word, n FROM freq ANTI JOIN terms ON word = term")
 def glossary_missing(spark, folder):
     words = glossary.word_frequencies(views.table(spark, folder, "documents"))
     return glossary.unknown_words(words, _text_glossary(spark, folder))
 
 
-@query(f"WITH {_FREQ} SELECT word, n FROM freq WHERE word IN (SELECT term FROM terms)")
+@query(f"WITH {_FREQ} SELECT word, n FROM freq SEMI JOIN terms ON word = term")
 def glossary_known(spark, folder):
     words = glossary.word_frequencies(views.table(spark, folder, "documents"))
     return glossary.known_words(words, _text_glossary(spark, folder))
 
 
 @query(f"""WITH {_FREQ}, fresh AS (SELECT word AS term, 'seen ' || n AS translation FROM freq WHERE n BETWEEN 10 AND 30)
-SELECT term, translation FROM terms WHERE term NOT IN (SELECT term FROM fresh)
+SELECT term, translation FROM terms ANTI JOIN fresh USING (term)
 UNION ALL SELECT term, translation FROM fresh""")
 def glossary_upsert(spark, folder):
     seen = glossary.word_frequencies(views.table(spark, folder, "documents")).where("n between 10 and 30")

@@ -65,12 +65,13 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package's source to executors that may lack it, once per application.
+    """Sends this package's source to the Python workers that may lack it, once per application; those of
+    a session in one process lack it too when the driver was started elsewhere.
 
     The zip is read by the driver alone; Spark's own file server hands it to the executors.
     """
     app = spark.sparkContext.applicationId
-    if app in _shipped or _one_process(spark):
+    if app in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     archive = os.path.join(tempfile.mkdtemp(prefix="bitloom-source-"), "bitloom.zip")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitloom import schemas
+from bitloom.sources.records import read_quoted_table
 
 
 def save_samples(df: DataFrame, path: str, fmt: str = "jsonl", mode: str = "overwrite") -> None:
@@ -19,9 +23,24 @@ def save_samples(df: DataFrame, path: str, fmt: str = "jsonl", mode: str = "over
         raise ValueError(f"unknown format {fmt!r}")
 
 
-def read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("source string, target string").options(
-        sep="\t", escape='"', multiLine=True).csv(path)
+def save_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One JSON array per file, an object per line."""
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
+        for batch in batches:
+            rows = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([("[" if first and not i else ",") + r for i, r in enumerate(rows)],
+                                                       pa.string())], names=["value"])
+            first = first and not rows
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], names=["value"])
+
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    rows.mapInArrow(framed, "value string").write.mode(mode).text(path)
+
+
+def read_tsv(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Quoted source and target; splits are read in parallel."""
+    return read_quoted_table(spark, path, schemas.TSV_PAIR, "\t", **options)
 
 
 def save_processed(df: DataFrame, base: str, name: str) -> None:

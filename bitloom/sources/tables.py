@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bitloom import schemas
 from bitloom.operators.filters import clean_pairs
+from bitloom.sources.records import read_array_objects, read_quoted_table
 
 # Default column names and name parts of the column search.
 SOURCE_COLUMN, TARGET_COLUMN = "English Source", "Reference Translation"
@@ -53,18 +54,18 @@ def read_jsonl(spark: SparkSession, path: str, schema=schemas.PROCESSED_PAIR) ->
     return spark.read.schema(schema).json(path)
 
 
-def read_json_array(spark: SparkSession, path: str, schema=schemas.CACHED_PAIR) -> DataFrame:
-    """A JSON array per file; absent metadata becomes an empty map."""
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_array(spark: SparkSession, path: str, schema=schemas.CACHED_PAIR, **options) -> DataFrame:
+    """A JSON array per file, read by as many tasks as the file has splits; absent metadata becomes an
+    empty map."""
+    rows = read_array_objects(spark, path, schema, **options)
     if "metadata" not in rows.columns:
         return rows
     return rows.withColumn("metadata", F.coalesce("metadata", F.create_map().cast("map<string,string>")))
 
 
-def read_translations(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header: source, reference, hypothesis."""
-    options = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False}
-    return spark.read.schema(schemas.TRANSLATIONS).options(**options).csv(path)
+def read_translations(spark: SparkSession, path: str, sep: str = ",", **options) -> DataFrame:
+    """CSV (or TSV) with header: source, reference, hypothesis. Splits are read in parallel."""
+    return read_quoted_table(spark, path, schemas.TRANSLATIONS, sep, header=True, **options)
 
 
 def align_benchmark(source: DataFrame, target: DataFrame, key: str = "id", text: str = "sentence",

@@ -72,6 +72,59 @@ def test_exact_split_sizes(spark, n):
     assert [got[s] for s in order] == ["train"] * cut + ["val"] * (cut2 - cut) + ["test"] * (n - cut2)
 
 
+def test_quantiles_beside_an_outlier(spark):
+    """One far value among many: no range of values is one task."""
+    import numpy as np
+    df = spark.range(200_000).selectExpr("double(id % 100003) AS a").unionByName(
+        spark.createDataFrame([(1e15,)], "a double"))
+    values = [float(i % 100003) for i in range(200_000)] + [1e15]
+    counts = quantiles.value_counts(df, ["a"])
+    got = {r["prob"]: r["quantile"] for r in quantiles.quantiles_of_counts(counts, [0.1, 0.5, 0.999, 1.0]).collect()}
+    assert got == {p: pytest.approx(np.quantile(values, p)) for p in (0.1, 0.5, 0.999, 1.0)}
+    parts = counts.repartitionByRange(8, "metric", "value").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) < 0.3 * counts.count()
+
+
+def test_ranks_inside_equal_and_missing_values(spark):
+    df = spark.createDataFrame([("m", 1.0, 3), ("m", 2.0, 1), ("k", 5.0, 1)], "metric string, value double, n long")
+    ranks_of = F.array(*[F.struct(F.lit(r).cast("long").alias("rank")) for r in range(5)])
+    got = sorted((r["metric"], r["target"]["rank"], r["value"]) for r in quantiles.ranked_values(df, ranks_of).collect())
+    assert got == [("k", 0, 5.0), ("m", 0, 1.0), ("m", 1, 1.0), ("m", 2, 1.0), ("m", 3, 2.0)]
+    assert quantiles.ranked_values(df.limit(0), ranks_of).collect() == []
+
+
+def test_repeated_ids_split_exactly_or_raise(spark):
+    ten = spark.range(100).select((F.col("id") % 10).cast("string").alias("sample_id"))
+    with pytest.raises(ValueError, match="repeat"):
+        split.split_exact(ten, {"train": 0.85, "val": 0.15})
+    sizes = {r["split"]: r["count"] for r in split.split_exact(ten, {"train": 0.8, "val": 0.2}).groupBy("split").count().collect()}
+    assert sizes == {"train": 80, "val": 20}
+
+
+def test_exact_split_takes_three_jobs(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("sample_id"))
+    parts = {f"p{i}": 1 / 20 for i in range(20)}
+    tracker, group = spark.sparkContext.statusTracker(), "split-jobs"
+    spark.sparkContext.setJobGroup(group, "boundaries")
+    try:
+        out = split.split_exact(df, parts)
+        jobs = len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert jobs <= 6  # three actions, each with a job for its exchange at most
+    assert {r["count"] for r in out.groupBy("split").count().collect()} == {150}
+
+
+def test_head_tail_split_with_ties(spark):
+    for rows in ([(5, str(i)) for i in range(100)], [(None if i % 3 else i // 20, str(i)) for i in range(100)]):
+        df = spark.createDataFrame(rows, "row_idx long, sample_id string")
+        got = split.split_head_tail(df, 0.85).collect()
+        assert sum(r["split"] == "train" for r in got) == 85
+        worst = max((r["row_idx"] for r in got if r["split"] == "train" and r["row_idx"] is not None), default=0)
+        assert all(r["row_idx"] is None or r["row_idx"] >= worst for r in got if r["split"] == "val")
+    assert split.split_head_tail(df.limit(0)).count() == 0
+
+
 def test_hash_split(spark):
     df = spark.range(2000).select(F.col("id").cast("string").alias("sample_id"))
     sizes = {r["split"]: r["count"] for r in split.split_by_hash(df, {"a": 0.5, "b": 0.5}).groupBy("split").count().collect()}
@@ -83,7 +136,7 @@ def test_hash_split(spark):
 @pytest.mark.parametrize("n", [1, 5, 10, 11, 100])
 def test_head_tail_split(spark, n):
     df = spark.range(n).select((F.col("id") * 7 + 3).alias("row_idx"))
-    sizes = {r["split"]: r["count"] for r in split.split_head_tail(df).groupBy("split").count().collect()}
+    sizes = {r["split"]: r["count"] for r in split.split_head_tail(df, repeat_small=10).groupBy("split").count().collect()}
     assert sizes == ({"train": n, "val": max(1, n // 5)} if n <= 10 else {"train": int(n * 0.9), "val": n - int(n * 0.9)})
 
 
@@ -171,3 +224,46 @@ def test_guarded_translation(spark):
 def test_scorer(spark):
     out = translate.add_scores(pairs(spark, ("abc", "a")), lambda rows: [len(s) - len(t) for s, t in rows], ["source", "target"], "x")
     assert out.first()["x"] == 2.0
+
+
+def test_a_bad_text_of_a_batch_is_found(spark):
+    calls = []
+
+    def fn(texts):
+        calls.append(len(texts))
+        if "bad" in texts:
+            raise ValueError("bad text")
+        return [t.upper() for t in texts]
+    texts = [f"t{i}" for i in range(999)]
+    texts.insert(500, "bad")
+    rows = translate.bisected(fn, texts)
+    assert [r for r in rows if r[1]] == [(None, "bad text")] and rows[0] == ("T0", None) and len(calls) <= 21
+    assert translate.bisected(fn, []) == []
+    assert [e is None for _, e in translate.bisected(lambda t: t[:1], ["a", "b"])] == [True, True]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, source string")
+    out = translate.translate_column(df, lambda t: fn(t), mode="batch").where("fallback_used").collect()
+    assert [r["source"] for r in out] == ["bad"]
+
+
+def test_feature_store_versions(spark, tmp_path):
+    from bitloom.operators.store import FeatureStore
+    base = FeatureStore(spark, str(tmp_path / "store"))
+    assert base.load("x") is None and not base.verify("x")
+    rows = spark.createDataFrame([(1, 0.5, ["a"], None), (2, 0.25, [], "z")], "i int, v double, l array<string>, s string")
+    base.store("x", rows)
+    first = base.manifest().first()
+    old = base.load("x")
+    base.store("x", rows.where("i = 1"))
+    assert base.load("x").count() == 1 and base.verify("x") and base.history().count() == 2
+    assert old.count() == 2 and base.manifest().count() == 1
+    base.store("x", rows.repartition(3).orderBy(F.desc("i")))
+    assert base.manifest().first()["content_hash"] == first["content_hash"] and base.load("x").count() == 2
+
+
+def test_dataset_stats_reads_once(spark):
+    df = pairs(spark, ("Open the USB app {1}", "de app"), ("open", None), (None, "x y z"))
+    row = stats.dataset_stats(df).first()
+    assert (row["num_samples"], row["max_source_length"], row["max_target_length"]) == (3, 5, 3)
+    assert row["avg_source_length"] == 3.0 and row["vocab_size_source"] == 5 and row["domain_terms"] == ["app", "usb"]
+    empty = stats.dataset_stats(df.limit(0)).first()
+    assert (empty["num_samples"], empty["avg_source_length"], empty["domain_terms"]) == (0, 0.0, [])

@@ -152,3 +152,73 @@ def test_aligned_folders(spark, tmp_path):
         raise AssertionError("unequal sides must fail")
     except ValueError:
         pass
+
+
+def small_splits(spark, size):
+    from contextlib import contextmanager
+
+    @contextmanager
+    def held():
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.minPartitionNum", "64")
+        try:
+            yield
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+    return held()
+
+
+AWKWARD = ['plain', '', 'a "quoted" word', 'brace } and { in text', '[list], ]', 'line\nbreak', 'tab\t, comma', 'back\\slash \\"',
+           '\\', 'é \U0001f600 ü', 'x' * 300, '"', '}"{', "end\\", ' lead']
+
+
+@pytest.mark.parametrize("layout", ["one line", "pretty", "object per line"])
+@pytest.mark.parametrize("size", ["1500", "10000000"])
+def test_json_arrays_over_many_splits(spark, tmp_path, layout, size):
+    import json
+    import random
+    rng = random.Random(4)
+    objects = [{"source": rng.choice(AWKWARD), "target": rng.choice(AWKWARD), "sample_id": str(i),
+                **({"metadata": {"k": rng.choice(AWKWARD)}} if i % 3 == 0 else {})} for i in range(200)]
+    for name, part in (("a", objects[:120]), ("b", objects[120:]), ("none", [])):
+        text = {"one line": json.dumps(part), "pretty": json.dumps(part, indent=2, ensure_ascii=False),
+                "object per line": "[" + ",\n".join(map(json.dumps, part)) + "]\n"}[layout]
+        write(f"{tmp_path}/{name}.json", text)
+    with small_splits(spark, size):
+        got = tables.read_json_array(spark, str(tmp_path)).collect()
+        if size == "1500":
+            assert records_splits(spark, f"{tmp_path}/a.json") > 5
+    assert sorted((int(r["sample_id"]), r["source"], r["target"], tuple(r["metadata"].items())) for r in got) == sorted(
+        (int(o["sample_id"]), o["source"], o["target"], tuple(o.get("metadata", {}).items())) for o in objects)
+
+
+def records_splits(spark, path):
+    return lines.read_splits(spark, path, lineSep="}").select("block").distinct().count()
+
+
+@pytest.mark.parametrize("sep,size", [(",", "900"), ("\t", "2500"), (",", "10000000")])
+def test_quoted_tables_over_many_splits(spark, tmp_path, sep, size):
+    import csv
+    import random
+    rng = random.Random(6)
+    rows = [tuple(rng.choice(AWKWARD) for _ in range(2)) + (f"h{i}",) for i in range(300)]
+    for name, part in (("a", rows[:200]), ("b", rows[200:])):
+        with open(f"{tmp_path}/{name}.csv", "w", newline="") as f:
+            out = csv.writer(f, delimiter=sep, lineterminator="\r\n" if name == "b" else "\n", quoting=csv.QUOTE_ALL)
+            out.writerow(["source", "reference", "hypothesis"])
+            out.writerows(part)
+    with small_splits(spark, size):
+        df = tables.read_translations(spark, str(tmp_path), sep).na.fill("")
+        got = [tuple(r) for r in df.collect()]
+    assert sorted(got) == sorted(rows)
+
+
+def test_wrong_header_and_open_quote(spark, tmp_path):
+    write(f"{tmp_path}/x.csv", "source,hypothesis,reference\na,b,c\n")
+    with pytest.raises(ValueError, match="header"):
+        tables.read_translations(spark, f"{tmp_path}/x.csv")
+    write(f"{tmp_path}/y.csv", 'source,reference,hypothesis\na,b,c\nd,"e\nf,g,h\n')
+    assert tables.read_translations(spark, f"{tmp_path}/y.csv").where("source = 'a'").count() == 1
+    write(f"{tmp_path}/z.csv", "source,reference,hypothesis\n")
+    assert tables.read_translations(spark, f"{tmp_path}/z.csv").count() == 0

@@ -1,19 +1,65 @@
+import pytest
 from pyspark.sql import functions as F
 
-from bitloom.plans import views
+from bitloom.plans import score_queries, views
 from bitloom.session import work_dir
 from bitloom.streaming import dedup, files, monitor
 
 DATA = "/root/testdata/sf0.001"
 
 
-def test_windows_equal_batch(spark):
-    stream = views.as_requests(files.table_stream(spark, DATA, "events"))
-    streamed = files.drain(monitor.window_metrics(stream, "1 day"))
-    batch = monitor.window_metrics(views.as_requests(views.table(spark, DATA, "events")), "1 day")
-    closed = batch.join(streamed.select("window_start"), "window_start")
-    assert streamed.count() >= batch.count() - 1
-    assert closed.exceptAll(streamed).count() == 0 and streamed.exceptAll(closed.select(streamed.columns)).count() == 0
+@pytest.fixture(scope="module")
+def spread(spark, tmp_path_factory):
+    """The tables as folders of three files."""
+    base = str(tmp_path_factory.mktemp("spread"))
+    for name in ("events", "documents"):
+        views.table(spark, DATA, name).repartition(3).write.parquet(f"{base}/{name}.parquet")
+    return base
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_windows_equal_batch(spark, spread):
+    batch = rows_of(monitor.window_metrics(views.as_requests(views.table(spark, DATA, "events")), "1 day"))
+    for folder in (DATA, spread):
+        stream = views.as_requests(files.table_stream(spark, folder, "events"))
+        assert rows_of(monitor.window_metrics(stream, "1 day")) == batch
+
+
+@pytest.mark.parametrize("name", ["monitor_windows_stream", "stream_dedup", "stream_qe_gate"])
+def test_stream_queries_on_a_folder(spark, spread, name):
+    query = score_queries.QUERIES[name]
+    assert rows_of(query(spark, spread)) == rows_of(query(spark, DATA)) != []
+
+
+def test_streams_without_rows(spark, tmp_path):
+    for name in ("events", "documents"):
+        views.table(spark, DATA, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in ("monitor_windows_stream", "stream_dedup", "stream_qe_gate"):
+        df = score_queries.QUERIES[name](spark, str(tmp_path))
+        assert df.collect() == [] and df.columns == score_queries.QUERIES[name](spark, DATA).columns
+
+
+def test_closed_windows_are_written_as_they_close(spark, tmp_path):
+    events = views.table(spark, DATA, "events").select("ts", "user_id", "value", "event_type")
+    day = lambda d: events.where(F.dayofmonth("ts") == d)
+    source = f"{tmp_path}/source"
+    stream = lambda: views.as_requests(spark.readStream.schema(events.schema).parquet(source))
+    for d in (2, 3):
+        day(d).write.mode("append").parquet(source)
+        monitor.run_monitor(stream(), f"{tmp_path}/out", f"{tmp_path}/state", available_now=True).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    batch = monitor.window_metrics(views.as_requests(events.where(F.dayofmonth("ts").isin(2, 3))))
+    assert rows_of(got.select(batch.columns).where(F.dayofmonth("window_start") == 2)) == rows_of(
+        batch.where(F.dayofmonth("window_start") == 2))
+
+
+def test_state_holds_one_row_per_latency(spark):
+    rows = spark.range(5000).selectExpr("timestamp'2024-01-01 00:00:00' AS ts", "double(id % 7) AS latency", "id % 2 = 0 AS is_error")
+    counts = monitor.latency_counts(rows)
+    assert counts.count() == 7 and not [f for f in counts.schema.fields if f.dataType.typeName() in ("array", "map", "binary")]
 
 
 def test_optional_rates_and_error_categories(spark):
