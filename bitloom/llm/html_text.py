@@ -1,13 +1,18 @@
 """Main text of web pages: subtrees that recur on many pages of a host are removed.
 
 Each page is cut into elements. The subtrees (tag and text, hashed with the host) are counted in Spark
-over the distinct page contents of a host; those on ``min_pages`` or more are its template and are
-deleted, together with elements whose tag, role or class says that they are no article text. Text comes
-from the page's articles (else its main element, else its body); inside of those, paragraphs and
-headings stay even if they recur, so that repeated sentences of an article are kept.
+over the distinct page contents of a host; those on a ``share`` of them, and on ``min_pages`` at least,
+are its template and are deleted, together with elements whose tag or role says that they are no article
+text, or whose class or id is such a word as a whole. Text comes from the page's articles, else its main
+element, else its body, whichever first has text. Only blocks can be template: no inline element, nothing
+below a paragraph, heading, list item or table cell, and inside of an article or main element none of
+these and no block that holds paragraphs or headings, so sentences that articles share are kept.
 
 Null html counts as empty and gives an empty text, a null url an empty host. Unclosed and stray tags are
-closed or ignored as browsers do; an unfinished tag at the end is dropped. Repeated pages count once.
+closed or ignored as browsers do; an unfinished tag at the end is dropped. Repeated pages count once, and
+each gives a row; equal page ids are told apart by their content. A page is read whole, however long, in
+one pass with memory of a few times its length. An empty table gives an empty table; extra columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,13 +28,17 @@ from pyspark.sql import functions as F
 
 from bitloom.llm.url_filter import host
 
-MIN_PAGES = 5
+MIN_PAGES, SHARE = 3, 0.5
 
 # Fixed values of HTML.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
               "strong sub sup time tt u var wbr img".split())
 _BLOCK_TEXT = set("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+_PARTS_OF = set("li dt dd td th caption figcaption".split())  # template as a whole list or table only
+_TEXT = _BLOCK_TEXT | _PARTS_OF
+_ROOTS = set("html body main article".split())
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _ENDS_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
@@ -44,6 +53,11 @@ _DROP_WORDS = set("ad ads advert adverts advertisement advertising banner breadc
                   "pagination pager popup promo related share sharing sidebar social sponsor sponsored subscribe toolbar "
                   "widget".split())
 
+# Words that say nothing beside one of those: "site-footer", "cookie-box".
+_PLAIN_WORDS = set("area bar block bottom box button buttons container content global group header inner item items left link "
+                   "links list main outer page panel primary right secondary section side site slot top wrap "
+                   "wrapper".split())
+
 _PARTS = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
@@ -51,17 +65,24 @@ _ATTRIBUTES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 _WORDS = re.compile(r"[a-z]+")
 
 
+def _names_no_text(name: str, in_main: bool) -> bool:
+    """Whether a class or id consists of words for what is no article text."""
+    words = set(_WORDS.findall(name))
+    dropped = words & _DROP_WORDS or not in_main and "header" in words
+    return bool(dropped) and words <= _DROP_WORDS | _PLAIN_WORDS
+
+
 def _dropped(tag: str, attributes: str, in_main: bool) -> bool:
     if tag in _DROP_TAGS or tag == "header" and not in_main:
         return True
-    if not attributes:
+    if not attributes or tag in _ROOTS or tag in _HEADINGS:
         return False
     for name, *values in _ATTRIBUTES.findall(attributes):
-        words = _WORDS.findall("".join(values).lower())
+        value = "".join(values).lower()
         if name.lower() == "role":
-            if _DROP_ROLES.intersection(words):
+            if _DROP_ROLES.intersection(_WORDS.findall(value)):
                 return True
-        elif _DROP_WORDS.intersection(words) or "header" in words and not in_main:
+        elif any(_names_no_text(n, in_main) for n in value.split()):
             return True
     return False
 
@@ -71,10 +92,11 @@ def _subtree(site: str, tag: str, text: str) -> int:
 
 
 class _Element:
-    __slots__ = ("tag", "drop", "main", "at", "rich")
+    __slots__ = ("tag", "drop", "main", "at", "rich", "text")
 
     def __init__(self, tag, drop, main, at):
         self.tag, self.drop, self.main, self.at, self.rich = tag, drop, main, at, False
+        self.text = tag in _TEXT
 
 
 def _walk(page: str, site: str, root: str, template: set[int], found: set[int] | None) -> str | None:
@@ -85,19 +107,20 @@ def _walk(page: str, site: str, root: str, template: set[int], found: set[int] |
     out: list[str] = []  # of the root elements, what is left
     raw: list[str] = []  # everything not dropped, for the hashes
     stack: list[tuple[_Element, int]] = []
-    drop = main = 0
+    drop = main = inside = 0  # open elements that are dropped, roots, blocks of text
     seen = not root
 
     def close(to: int) -> None:
-        nonlocal drop, main
+        nonlocal drop, main, inside
         while len(stack) > to:
             element, raw_at = stack.pop()
             drop -= element.drop
             main -= element.main
+            inside -= element.text
             if element.drop or drop:
                 continue
-            free = element.tag not in ("html", "body", "main", "article") and not (
-                main and (element.tag in _BLOCK_TEXT or element.rich))
+            free = not (inside or element.tag in _INLINE or element.tag in _ROOTS or element.tag in _PARTS_OF
+                        or main and (element.text or element.rich))
             if free and len(raw) > raw_at:
                 text = "".join(raw[raw_at:])
                 if not text.isspace():
@@ -148,9 +171,10 @@ def _walk(page: str, site: str, root: str, template: set[int], found: set[int] |
             continue
         is_main = bool(root) and tag == root
         element = _Element(tag, _dropped(tag, part.group(4), bool(main or is_main)), is_main, len(out))
-        seen |= is_main and not element.drop
+        seen |= is_main and not element.drop and not drop
         drop += element.drop
         main += element.main
+        inside += element.text
         stack.append((element, len(raw)))
     put(page[at:])
     close(0)
@@ -170,22 +194,22 @@ def subtrees(page: str, site: str) -> list[int]:
 
 
 def main_text(page: str, site: str, template: set[int]) -> str:
-    text = None
     for root in dict.fromkeys((_root(page), "main", "")):
-        text = _walk(page, site, root, template, None)
-        if text is not None:
-            break
-    return " ".join((text or "").split())
+        if text := " ".join((_walk(page, site, root, template, None) or "").split()):
+            return text
+    return ""
 
 
 def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pages, keys = [], []
-        for page, site, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        pages, sites, keys = [], [], []
+        for page, key, site, content in zip(*(c.to_pylist() for c in batch.columns)):
             found = subtrees(content, site)
             keys += found
             pages += [page] * len(found)
-        yield pa.RecordBatch.from_arrays([pa.array(pages, pa.int64()), pa.array(keys, pa.int64())], names=["page", "subtree"])
+            sites += [key] * len(found)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (pages, sites, keys)],
+                                         names=["page", "site_key", "subtree"])
 
 
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,14 +221,28 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["page_id", "url", "text", "n_chars"])
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def host_pages(rows: DataFrame) -> DataFrame:
+    """(site_key, pages): distinct page contents per host."""
+    return rows.select("site_key", "page").distinct().groupBy("site_key").agg(F.count(F.lit(1)).alias("pages"))
+
+
+def template(rows: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> tuple[DataFrame, DataFrame]:
+    """(page, site_key, subtree) of all pages, and (subtree) of the template of any host."""
+    found = rows.select("page", "site_key", "site", "html").mapInArrow(
+        _subtree_rows, "page long, site_key long, subtree long").distinct()
+    counts = (found.groupBy("site_key", "subtree").agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") >= min_pages))
+    often = counts.join(host_pages(rows), "site_key").where(F.col("n") >= share * F.col("pages"))
+    return found, often.select("subtree")
+
+
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     content = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", host().alias("site"), content.alias("html"))
-    rows = rows.withColumn("page", F.xxhash64("site", "html"))
-    found = rows.select("page", "site", "html").mapInArrow(_subtree_rows, "page long, subtree long").distinct()
-    template = found.groupBy("subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select("subtree")
-    lists = found.join(template, "subtree").groupBy("page").agg(F.collect_set("subtree").alias("template"))
+    rows = rows.withColumns({"page": F.xxhash64("site", "html"), "site_key": F.xxhash64("site")})
+    found, often = template(rows, min_pages, share)
+    lists = found.join(often, "subtree").groupBy("page").agg(F.collect_set("subtree").alias("template"))
     kind = pages.schema["page_id"].dataType.simpleString()
     return (rows.join(lists, "page", "left").select("page_id", "url", "site", "html", "template")
             .mapInArrow(_text_rows, f"page_id {kind}, url string, text string, n_chars long"))

@@ -6,7 +6,10 @@ rule's query are verified with the expression itself, and a rule without mandato
 document.
 
 Null text counts as empty. Documents with equal ids share their postings, which only adds candidates;
-null ids are matched null-safely. Offsets count code points.
+null ids are matched null-safely. Repeated rows are scanned each. Offsets count code points. Spans of one
+start are in the order of the rules. The work grows with a text's length and, up to a logarithm, with its
+matches, so very long texts are whole. An empty table gives an empty table; columns of any other name are
+kept as they are.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bitloom.functions import text as tx
 from bitloom.llm.common import whole_text
 
 
@@ -98,11 +102,24 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
     return sorted((c for c in clauses if not any(d < c for d in clauses)), key=sorted)
 
 
-def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
-    """(trigram, doc_id): the index restricted to the given trigrams, case folded."""
+_RARE = "zqxjkvbpgyfmwculdrhsnioate"  # letters of Western texts, rare ones first
+
+
+def _lead(clause: frozenset[str]) -> str:
+    """The trigram of a clause that few texts hold, by its letters."""
+    place = lambda c: _RARE.find(c) if c in _RARE else -1
+    return min(clause, key=lambda t: (sum(map(place, t)), t))
+
+
+def postings(docs: DataFrame, clauses: list[frozenset[str]]) -> DataFrame:
+    """(trigram, doc_id): the index restricted to the clauses, case folded. A clause's rarest trigram is
+    looked for in every text, its others only where that one occurs."""
     folded = F.lower(whole_text())
-    held = F.array(*[F.when(F.contains(folded, F.lit(t)), F.lit(t)) for t in trigrams])
-    return docs.select("doc_id", F.explode(F.array_compact(held)).alias("trigram")).select("trigram", "doc_id")
+    held = lambda t: F.when(F.contains(folded, F.lit(t)), F.lit(t))
+    none = F.array().cast("array<string>")
+    by_clause = [F.when(F.contains(folded, F.lit(_lead(c))), F.array(*map(held, sorted(c)))).otherwise(none) for c in clauses]
+    found = F.array_distinct(F.array_compact(F.concat(*by_clause)))
+    return docs.select("doc_id", F.explode(found).alias("trigram")).select("trigram", "doc_id")
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -112,51 +129,99 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     # one row per trigram of the rules: fixed by the rules, not by the data
     query = F.broadcast(docs.sparkSession.createDataFrame(
         needs, "kind string, clause int, trigram string, bit long, full long"))
-    held = postings(docs, sorted({n[2] for n in needs})).join(query, "trigram")
-    clauses = held.groupBy("doc_id", "kind", "clause", "full").agg(F.bit_or("bit").alias("bits"))
-    return clauses.where("bits = full").groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
+    clauses = sorted({c for r in rules for c in trigram_query(r.pattern)}, key=sorted)
+    held = postings(docs, clauses).join(query, "trigram")
+    met = held.groupBy("doc_id", "kind", "clause", "full").agg(F.bit_or("bit").alias("bits"))
+    return met.where("bits = full").groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """The rule's matches as (start, end, kind), leftmost and non-overlapping, code points."""
-    pattern = F.lit(rule.java)
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, rule.java, -1)
-    value = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
+_FAN = 8
 
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + x["size"]
-        found = F.when(x["value"] >= rule.least,
-                       F.array(F.struct(start.alias("start"), end.alias("end")))).otherwise(empty)
-        return F.struct(end.alias("at"), F.concat(acc["found"], found).alias("found"))
 
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    steps = F.transform(whole, lambda m, i: F.struct(
-        F.char_length(F.get(gaps, i)).alias("gap"), F.char_length(m).alias("size"),
-        F.char_length(F.get(value, i)).alias("value")))
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-    return F.aggregate(steps, start, add, lambda acc: acc["found"])
+def running(values: Column, op) -> Column:
+    """Running sums (or maxima) of an array of integers. Each step combines values ``_FAN`` times as far
+    apart, as long as the array is that long, so the work is the length times its logarithm."""
+    def step(distance: int):
+        def combine(a: Column) -> Column:
+            def wider(x: Column, i: Column) -> Column:
+                for k in range(1, _FAN):
+                    earlier = F.get(a, i - F.lit(distance * k))
+                    x = op(x, F.coalesce(earlier, F.lit(0)))
+                return x
+            return F.when(F.size(a) > distance, F.transform(a, wider)).otherwise(a)
+        return combine
 
+    distance = 1
+    while distance < 1 << 31:  # arrays are no longer
+        values = tx.let(values, step(distance))
+        distance *= _FAN
+    return values
 
-def _tagged(found: Column, rank: int, kind: str) -> Column:
-    return F.transform(found, lambda s: F.struct(
-        s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
+_STEP = "array<struct<rank:int,gap:bigint,size:bigint,value:int>>"
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> DataFrame:
-    """The documents with ``__spans``: array of (start, rank, end, kind), sorted by start, then rule."""
+
+def matches(text: Column, rule: Rule, rank: int) -> Column:
+    """The rule's matches in order: characters between the one before and it, its own, those of its group."""
+    pattern = F.lit(rule.java)
+
+    def measured(whole: Column) -> Column:
+        gaps = F.split(text, rule.java, -1)
+        value = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
+        zipped = F.arrays_zip(whole.alias("whole"), value.alias("value"),
+                              F.slice(gaps, F.lit(1), F.size(whole)).alias("gap"))
+        return F.transform(zipped, lambda m: F.struct(
+            F.lit(rank).alias("rank"), F.char_length(m["gap"]).cast("long").alias("gap"),
+            F.char_length(m["whole"]).cast("long").alias("size"), F.char_length(m["value"]).alias("value")))
+
+    return tx.let(F.regexp_extract_all(text, pattern, F.lit(0)),
+                  lambda whole: F.when(F.size(whole) > 0, measured(whole)).otherwise(F.array().cast(_STEP)))
+
+
+def spans(by_rule: list[Column], rules: tuple[Rule, ...]) -> Column:
+    """(start, rank, end, kind) of the matches of all rules that are long enough, sorted by start, then
+    rule; code points. One running sum serves all rules: each begins at the sum of those before."""
+    least = F.array(*[F.lit(r.least) for r in rules])
+    kind = F.array(*[F.lit(r.kind) for r in rules])
+    width = lambda m: m["gap"] + m["size"]
+    zero = F.lit(0).cast("long")
+    totals = lambda parts: F.transform(parts, lambda p: F.aggregate(p, zero, lambda acc, m: acc + width(m)))
+
+    def placed(flat: Column, sums: Column) -> Column:
+        def span(m: Column, end: Column) -> Column:
+            before = F.aggregate(F.slice(sums, F.lit(1), m["rank"]), zero, lambda acc, x: acc + x)
+            return F.struct((end - before - m["size"]).cast("int").alias("start"), m["rank"].alias("rank"),
+                            (end - before).cast("int").alias("end"), F.get(kind, m["rank"]).alias("kind"),
+                            (m["value"] >= F.get(least, m["rank"])).alias("long"))
+        ends = running(F.transform(flat, width), lambda x, y: x + y)
+        kept = F.filter(F.zip_with(flat, ends, span), lambda s: s["long"])
+        return F.sort_array(F.transform(kept, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])))
+
+    return tx.let(F.array(*by_rule), lambda parts: tx.let(
+        totals(parts), lambda sums: tx.let(F.flatten(parts), lambda flat: placed(flat, sums))))
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that the table lacks."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> tuple[DataFrame, str]:
+    """The documents with an array of (start, rank, end, kind), sorted by start, then rule; and the name
+    of that column, which no given column has."""
+    id_, kinds, found = (_unused(docs, n) for n in ("id_of_candidate", "kinds_of_candidate", "spans_found"))
     indexed = tuple(r for r in rules if trigram_query(r.pattern))
-    found = candidates(docs, indexed).withColumnsRenamed({"doc_id": "__id", "kinds": "__kinds"})
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left")
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    parts = []
+    likely = candidates(docs.select("doc_id", "text"), indexed).withColumnsRenamed({"doc_id": id_, "kinds": kinds})
+    joined = docs.join(likely, docs["doc_id"].eqNullSafe(likely[id_]), "left")
+    none = F.array().cast(_STEP)
+    steps = []
     for rank, rule in enumerate(rules):
-        got = spans(whole_text(), rule)
-        if rule in indexed:
-            got = F.when(F.array_contains("__kinds", rule.kind), got).otherwise(none)
-        parts.append(_tagged(got, rank, rule.kind))
-    return joined.withColumn("__spans", F.sort_array(F.concat(*parts))).drop("__id", "__kinds")
+        got = matches(whole_text(), rule, rank)
+        steps.append(F.when(F.array_contains(kinds, rule.kind), got).otherwise(none) if rule in indexed else got)
+    return joined.withColumn(found, spans(steps, rules)).drop(id_, kinds), found
 
 
 def joined_spans(found: Column) -> Column:
@@ -164,24 +229,39 @@ def joined_spans(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+_CHUNK = 1000
+
+
+def _without(text: Column, found: Column, mark: str) -> Column:
+    """The text with every span (sorted by start) replaced; spans that overlap become one mark.
+
+    The text is held in chunks, so cutting a piece out costs its length and a chunk, wherever it lies.
+    """
+    def cut(chunks: Column) -> Column:
+        def piece(low: Column, high: Column) -> Column:
+            first, last = F.floor(low / _CHUNK).cast("int"), F.floor(high / _CHUNK).cast("int")
+            return F.substring(F.array_join(F.slice(chunks, first + 1, last - first + 1), ""),
+                               (low % _CHUNK + 1).cast("int"), (high - low).cast("int"))
+
+        def joined(to: Column) -> Column:
+            gaps = F.transform(found, lambda s, i: F.struct(
+                F.coalesce(F.get(to, i - 1), F.lit(0)).alias("low"), s["start"].alias("high")))
+            kept = F.transform(F.filter(gaps, lambda g: g["high"] >= g["low"]), lambda g: piece(g["low"], g["high"]))
+            return F.array_join(F.concat(kept, F.array(piece(F.element_at(to, -1), F.char_length(text)))), mark)
+
+        return tx.let(running(F.transform(found, lambda s: s["end"]), F.greatest), joined)
+
+    return tx.let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0)), cut)
+
+
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, mark: str = "<secret>") -> DataFrame:
     """The documents with every found span replaced by ``mark``; overlapping spans become one mark.
 
     ``n_chars`` follows the text where the column is present; null text stays null.
     """
     text = F.col("text")
-    found = scan(docs, rules)
-
-    def cut(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], piece, F.lit(mark))).otherwise(acc["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("__spans", start, cut, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    out = found.withColumn("text", F.when(F.size("__spans") > 0, clean).otherwise(text))
+    found, name = scan(docs, rules)
+    out = found.withColumn("text", F.when(F.size(name) > 0, _without(text, F.col(name), mark)).otherwise(text))
     if "n_chars" in docs.columns:
         changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(changed))
@@ -191,9 +271,9 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES,
 def report(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> DataFrame:
     """Counts and spans of every document; the digest covers the base rules."""
     base = [r.kind for r in BASE_RULES]
-    found = scan(docs.select("doc_id", "text"), rules)
-    count = lambda kind: F.size(F.filter("__spans", lambda s: s["kind"] == kind)).cast("long")
+    found, name = scan(docs.select("doc_id", "text"), rules)
+    count = lambda kind: F.size(F.filter(name, lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in base],
-        F.sha2(joined_spans(F.filter("__spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
-        joined_spans(F.col("__spans")).alias("spans"))
+        F.sha2(joined_spans(F.filter(name, lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        joined_spans(F.col(name)).alias("spans"))
