@@ -18,6 +18,7 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows here are whole documents, so Arrow batches are kept small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -57,7 +58,8 @@ def prepare_session(spark: SparkSession) -> None:
     """Settings the results rely on, for a session that ``build_session`` did not make."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", DEFAULTS["spark.sql.execution.arrow.maxRecordsPerBatch"])
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.set(f"spark.sql.execution.arrow.{key}", DEFAULTS[f"spark.sql.execution.arrow.{key}"])
     ship_package(spark)
 
 
