@@ -10,7 +10,9 @@ by scanning the buckets of first bytes in order. Neighbours with a common prefix
 a group, and every member whose document is not the group's smallest is removed.
 
 Null text counts as empty. A null id comes after all others. Documents with equal ids never remove each
-other; an id with several texts keeps its rows apart. Only the input decides, not what is left.
+other; an id with several texts keeps its rows apart. Only the input decides, not what is left. Parts
+follow the bytes of the texts; a text of any length is cut into slices. Repeated rows lose the same bytes.
+An empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitloom.llm.bpe import ragged
@@ -29,11 +31,13 @@ from bitloom.llm.common import salts, whole_text
 
 WIDTH = 50
 KMER = 6
-BLOCK = 4 << 20
-STEP = 1 << 19
-SORTED = 1 << 20
+BLOCK = 2 << 20
+STEP = 1 << 18
+SORTED = 1 << 19
 _LAST = (1 << 63) - 1
-_TAG = 40  # bits below the tag that keeps texts of one id apart
+PART_BYTES = 8 << 20  # of text per part
+TASKS = 20_000  # parts beyond that are dealt to so many tasks, each of which takes one after another
+_TAG = 31  # bits below the tag that keeps texts of one id apart: places in a text
 _BASE = np.uint64(0xD1342543DE82EF95)
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _COLUMNS = ("done", "docs", "at", "size", "anchor", "segment", "text")
@@ -465,26 +469,43 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
+def tagged(rows: DataFrame) -> DataFrame:
+    """Rows (key, text, …) with ``tag``: 0, but for ids with several texts the number of the text among
+    all such ones, from 1. Numbers are counted per range of the texts' hashes, so no task sees all."""
+    several = (rows.groupBy("key").agg((F.min(F.xxhash64("text")) != F.max(F.xxhash64("text"))).alias("several"))
+               .where("several"))
+    if several.isEmpty():
+        return rows.withColumn("tag", F.lit(0).cast("long"))
+    digests = rows.join(several, "key", "left").withColumn("digest", F.when(F.col("several"), F.md5(F.col("text").cast("binary"))))
+    named = (digests.where("several").select("key", "digest").distinct()
+             .withColumn("range", F.conv(F.substring("digest", 1, 3), 16, 10).cast("int")))
+    # at most 4096 ranges
+    before = Window.partitionBy(F.lit(1)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    first = named.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select(
+        "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy("digest", "key"))
+    numbers = (named.withColumn("place", place).join(F.broadcast(first), "range")
+               .select("key", "digest", (F.col("first") + F.col("place")).alias("tag")))
+    return digests.join(numbers, ["key", "digest"], "left").select(
+        *rows.columns, F.coalesce("tag", F.lit(0).cast("long")).alias("tag"))
+
+
 def deduplicated(docs: DataFrame, width: int = WIDTH, kmer: int = KMER) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): the bytes of each text that are left."""
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("key"), whole_text().alias("text"))
-    several = (rows.groupBy("key").agg((F.min(F.xxhash64("text")) != F.max(F.xxhash64("text"))).alias("several"))
-               .where("several").select("key"))
-    tag = F.lit(0)
-    if not several.isEmpty():  # an id with several texts: the tag tells its rows apart
-        rows = rows.join(several.withColumn("several", F.lit(True)), "key", "left")
-        tag = F.when(F.col("several"), F.pmod(F.xxhash64("text"), F.lit(1 << 22))).otherwise(0)
-    rows = rows.select("key", tag.cast("long").alias("tag"), "text", "doc_id")
-    parts = 2 * salts(docs)
+    rows = tagged(docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("key"),
+                              whole_text().alias("text"))).select("key", "tag", "text", "doc_id")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(2 * salts(docs), -(-size // PART_BYTES))
+    tasks = min(parts, TASKS)
     contexts = rows.select("key", "tag", "text").mapInArrow(_context_rows(parts, width, kmer), "part int, " + ", ".join(f"{c} binary" for c in _CONTEXTS))
-    shared = (contexts.repartition(parts, "part").sortWithinPartitions("part")
+    shared = (contexts.repartition(tasks, "part").sortWithinPartitions("part")
               .mapInArrow(_shared_rows, "key long, tag long, start int"))
     # dealt by document before the lists are built: a list of one start takes several times its room
     marks = shared.repartition("key").groupBy("key", "tag").agg(F.collect_list("start").alias("marks"))
     # all columns go along, so that this exchange of the texts serves the last join too
     sent = (rows.join(marks, ["key", "tag"]).select("key", "tag", "text", "marks", "doc_id")
             .mapInArrow(_block_rows(parts, width, kmer), "part int, " + ", ".join(f"{c} binary" for c in _COLUMNS)))
-    found = (sent.repartition(parts, "part").sortWithinPartitions("part")
+    found = (sent.repartition(tasks, "part").sortWithinPartitions("part")
              .mapInArrow(_part_rows(width, kmer), "key long, tag long, start long, end long"))
     spans = found.repartition("key").groupBy("key", "tag").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     kind = docs.schema["doc_id"].dataType.simpleString()
