@@ -34,7 +34,8 @@ SIZE = 2048
 END_ID = 1
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")  # split() cuts there, the tokenizer does not
 _BATCH = 200
-_KNOWN = 1_000_000  # strings kept per worker, about 150 MB
+_KNOWN = 200_000  # strings kept per worker, about 30 MB
+BLOCK_CHARS = 2 << 20
 _CASES = re.compile("[\u0130\u03a3]")  # lower-cased by context in Python
 
 
@@ -149,7 +150,7 @@ def encode(texts: list[str], path: str) -> list[np.ndarray]:
 def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): every document cut into full pieces and a rest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in blocks(batches):
+        for keys, texts in blocks(batches, BLOCK_CHARS):
             rows = []
             for i, found in enumerate(encode(texts, path)):
                 ids = np.append(found, np.uint32(end_id)).astype("<u4")
