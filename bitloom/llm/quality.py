@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bitloom.llm.common import stored, whole_text
+from bitloom.operators.ranks import value_of_rank
 from bitloom.llm.spotsigs import ANCHORS
 
 TRAINING_ROWS = 20_000
@@ -82,7 +83,7 @@ LABELLERS = ("symbols", "repeats", "distinct", "common", "capitals", "shouts", "
 
 
 def _features(text: str, m: dict[str, float]) -> dict[int, float]:
-    """Hashed features: marks and common words by frequency, every measure by its step on a log scale."""
+    """Hashed features: runs of marks by frequency, every measure by its step on a log scale."""
     out: dict[int, float] = {}
 
     def add(token: str, value: float) -> None:
@@ -91,8 +92,8 @@ def _features(text: str, m: dict[str, float]) -> dict[int, float]:
 
     add("bias", 1.0)
     if m["words"]:
-        for mark, n in Counter(_MARKS.findall(text)).most_common(50):
-            add(f"mark {mark[:4]}", min(1.0, 10 * n / m["words"]))
+        for mark, n in Counter(_MARKS.findall(text)).items():
+            add(f"mark {mark}", min(1.0, 10 * n / m["words"]))
         for name, value in m.items():
             add(f"{name} {round(2 * np.log2(value + 2 ** -10))}", 1.0)
     return out
@@ -160,6 +161,19 @@ def train(rows: list[tuple[list[int], list[float], float]], rounds: int = 300, r
     return weights
 
 
+def sampled(rows: DataFrame, n: int, size: int) -> list:
+    """``size`` of n rows, those of smallest hash, in their order; the hash of rank ``size`` is found by
+    counting, so no more than these rows reach the driver. Rows of equal hash are equal."""
+    hashed = rows.select("at", "value", "votes", F.shiftrightunsigned(F.xxhash64("doc_id", "votes", "at", "value"), 2).alias("v"))
+    if n > size:
+        bound = value_of_rank(hashed.select("v"), size - 1)
+        below = hashed.where(F.col("v") < bound).collect()
+        found = below + hashed.where(F.col("v") == bound).limit(size - len(below)).collect()
+    else:
+        found = hashed.collect()
+    return sorted(found, key=lambda r: (r["v"], r["votes"]))
+
+
 def scored(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
     """(doc_id, votes, posterior, score) of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -167,7 +181,7 @@ def scored(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
         _rows, f"doc_id {kind}, votes string, at array<int>, value array<float>"), "features")
     patterns = {r["votes"]: r["n"] for r in rows.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     posterior, _ = fit_labellers(patterns)
-    sample = (rows.orderBy(F.xxhash64("doc_id"), "votes").limit(training_rows).select("at", "value", "votes").collect())
+    sample = sampled(rows, sum(patterns.values()), training_rows)
     weights = train([(r["at"], r["value"], posterior[r["votes"]]) for r in sample])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

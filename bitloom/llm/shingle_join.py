@@ -10,7 +10,9 @@ forest, never its pairs.
 Equal sets are one class from the start and counted, not compared. Texts shorter than a shingle are one
 shingle; texts without words are alike. Null text counts as empty. Documents that share an id are one
 document if their texts are equal, else each keeps its own class; ``near_deduplicated`` then keeps both
-if one stays. Sets and shingles are told apart by 64-bit hashes.
+if one stays. Rows without an id are told apart by their texts; a class of such rows only has a null
+class id. Sets, shingles and texts are told apart by 64-bit hashes. A text is held whole, however long.
+Repeated rows are linked like copies. An empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -98,8 +100,8 @@ def _forest_rows(trees: int, depth: int, width: int):
             paths = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, (len(sets) + 1) * trees, trees), pa.int32()), pa.array(labels(sets, trees, depth).ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([_set_id(s) for s in sets], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64()), paths], names=["doc_id", "node", "size", "paths"])
+                [batch.column(0), batch.column(2), pa.array([_set_id(s) for s in sets], pa.int64()),
+                 pa.array([len(s) for s in sets], pa.int64()), paths], names=["doc_id", "text_key", "node", "size", "paths"])
     return run
 
 
@@ -153,8 +155,6 @@ def _block_rows(threshold: float, width: int):
         found = dict(zip((r[3] for r in rows), rows))  # repeated rows count once
         rows = sorted(found.values(), key=lambda r: (r[4] != left, r[3]))
         sets = shingle_sets([r[6] for r in rows], width)
-        keep = [i for i, s in enumerate(sets) if _set_id(s) == rows[i][3]]  # an id may stand for other texts too
-        rows, sets = [rows[i] for i in keep], [sets[i] for i in keep]
         if len(rows) < 2:
             return []
         pairs = linked(sets, threshold, None if left == right else sum(r[4] == left for r in rows))
@@ -201,10 +201,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE,
     """
     depth = prefix_depth(threshold, trees, recall)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", whole_text().alias("text"))
+    # the text's hash tells rows of one id, or without one, apart
+    texts = docs.select("doc_id", whole_text().alias("text")).withColumn("text_key", F.xxhash64("text"))
     rows = stored(texts.mapInArrow(_forest_rows(trees, depth, width),
-                                   f"doc_id {kind}, node long, size long, paths array<long>"), "forest")
-    groups = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+                                   f"doc_id {kind}, text_key long, node long, size long, paths array<long>"), "forest")
+    chosen = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_key").alias("key")))
+    groups = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), chosen.alias("chosen"), F.count(F.lit(1)).alias("copies"))
     clusters = coarse_clusters(rows.where("size > 0").dropDuplicates(["node"]).select("node", "paths"))
     # chunks by hash: about `chunk` sets each, whatever the cluster's size
     parts = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts"))
@@ -213,8 +215,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE,
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     blocks = (members.withColumn("other", F.explode(every))
               .select("cluster", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-                      "node", "part", "copies", F.col("first_id").alias("__id")))
-    with_text = (blocks.join(texts, texts["doc_id"].eqNullSafe(blocks["__id"]))
+                      "node", "part", "copies", "chosen"))
+    held = texts.dropDuplicates(["doc_id", "text_key"])
+    with_text = (blocks.join(held, held["doc_id"].eqNullSafe(blocks["chosen.id"])
+                             & (held["text_key"] == blocks["chosen.key"]))
                  .select("cluster", "i", "j", "node", "part", "copies", "text"))
     found = stored(
         with_text.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")

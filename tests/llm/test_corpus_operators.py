@@ -286,6 +286,51 @@ def base_spans(text):
     return [x[2] for x in sorted(found)]
 
 
+def test_rows_without_an_id_keep_their_links(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, base), (None, base + " x"), (None, base + " y"), (None, other), (None, other + " y"), (1, "else " * 9),
+            (7, base + " z"), (7, other + " z")]
+    got = Counter((r["doc_id"], r["n_links"], r["n_shingles"]) for r in shingle_join.classes(frame(spark, rows)).collect())
+    assert got == {(None, 3, 56): 1, (None, 3, 57): 2, (None, 2, 56): 1, (None, 2, 57): 1, (1, 0, 1): 1, (7, 3, 57): 1, (7, 2, 57): 1}
+
+
+def test_links_against_all_pairs(spark):
+    """Every pair at or above the threshold on the given documents: recall of the links."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    texts = [r["text"] or "" for r in docs.orderBy("doc_id").collect()]
+
+    def shingles(t):
+        w = t.lower().split()
+        return {" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    sets = [shingles(t) for t in texts]
+    links = [0] * len(sets)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if (not a and not b) or (a and b and min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) - 1e-6
+                                     and len(a & b) >= 0.8 * len(a | b) - 1e-6):
+                links[i] += 1
+                links[j] += 1
+    got = [r["n_links"] for r in shingle_join.classes(docs).orderBy("doc_id").collect()]
+    assert sum(got) >= 0.99 * sum(links) > 0 and all(a <= b for a, b in zip(got, links))
+
+
+def test_texts_of_one_id_are_numbered(spark):
+    rows = [(9, "a"), (9, "b"), (9, "b"), (5, "c"), (8, "d"), (8, "e")]
+    df = spark.createDataFrame(rows, "key long, text string")
+    got = Counter((r["key"], r["text"], r["tag"]) for r in suffix_dedup.tagged(df).collect())
+    tags = {(k, t): tag for k, t, tag in got}
+    assert tags[5, "c"] == 0 and got[9, "b", tags[9, "b"]] == 2
+    assert sorted(tag for k, tag in tags.items() if k[0] != 5) == [1, 2, 3, 4]
+
+
+def test_sample_of_the_classifier(spark):
+    rows = spark.range(500).selectExpr("if(id < 300, null, id) AS doc_id", "'++' AS votes", "array(int(id % 5)) AS at", "array(float(1)) AS value")
+    assert len(quality.sampled(rows, 500, 90)) == 90 and len(quality.sampled(rows, 500, 500)) == 500
+    assert quality.sampled(rows, 500, 90) == quality.sampled(rows.repartition(7), 500, 90)
+
+
 def test_spans_of_all_rules(spark):
     """Counts and spans against plain patterns, on texts with many matches of several rules."""
     rng = random.Random(8)
