@@ -9,8 +9,9 @@ through and changes no result.
 
 A last scan keeps per block a pointer to the first place of every fingerprint that may be frequent and
 compares the bytes of all other places with the bytes there; what differs is a phrase of its own. Only
-these phrases become text, with their counts and the place (id, number of the word in the text) of the
-first; grouping by the text gives exact counts, so colliding fingerprints cost work and never a result.
+these phrases become text, combined per task, with their counts and the place (id, number of the word in
+the text) of the first; grouping by the text gives exact counts, so colliding fingerprints cost work and
+never a result. Single words are counted by their text at once.
 
 Null text counts as empty, a null language as ``und``. Texts are cut at marks into pieces before they
 are blocked, so a text is as long as it likes; one piece is held by a task. Repeated rows count as often
@@ -30,13 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from bitloom.llm.bpe import ragged
-from bitloom.llm.common import stored, whole_text
+from bitloom.llm.common import salts, stored, whole_text
 
 LONGEST, LEAST, TOP, COVERED = 5, 100, 2000, 100
 SCALE = 1000
 UNKNOWN = "und"
-FILTER_BITS = 1 << 27  # 16 MB
-BLOCK_BYTES = 4 << 20
+FILTER_BITS = 1 << 25  # 4 MB; more bits let fewer n-grams through where millions are frequent
+BLOCK_BYTES = 2 << 20
+HELD = 100_000  # phrases that a task combines before it sends them on
 _CHUNK = 32768  # bits of one bitmap of bitmap_construct_agg
 _BYTE_BASE, _WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -94,6 +96,7 @@ class Block:
         self.bytes = raw[ragged(starts, sizes + 1)]
         self.ends -= 1
         self.bytes[self.ends] = 0x20
+        self.raw = self.bytes.tobytes()
         up, down = _BYTE_POWERS.of(len(raw) + 1)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], dtype=np.uint64)])
         word = mixed((total[ends] - total[starts]) * down[starts] + sizes.astype(np.uint64))
@@ -130,8 +133,8 @@ class Block:
             equal[at] = np.add.reduceat(differ, np.cumsum(size[at]) - size[at], dtype=np.int64) == 0
         return equal
 
-    def phrase(self, at: int, n: int) -> str:
-        return self.bytes[self.starts[at]:self.ends[at + n - 1]].tobytes().decode()
+    def phrase(self, at: int, n: int) -> bytes:
+        return self.raw[self.starts[at]:self.ends[at + n - 1]]
 
 
 def is_set(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
@@ -180,13 +183,9 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
         yield ids, tongues, texts, before
 
 
-def _block(tongues: list[str], texts: list[bytes]) -> tuple[Block, list[str], np.ndarray]:
-    """The block, its languages, and the number of each text's language among them."""
-    names = sorted(set(tongues))
-    number = {name: k for k, name in enumerate(names)}
-    which = np.array([number[t] for t in tongues])
-    salts = np.array([int.from_bytes(blake2b(name.encode(), digest_size=8).digest()) for name in names], np.uint64)
-    return Block(texts, salts[which]), names, which
+def _block(tongues: list[str], texts: list[bytes]) -> Block:
+    salt = {name: int.from_bytes(blake2b(name.encode(), digest_size=8).digest()) for name in set(tongues)}
+    return Block(texts, np.array([salt[t] for t in tongues], np.uint64))
 
 
 def _inputs(docs: DataFrame, lang: str) -> DataFrame:
@@ -199,7 +198,7 @@ def counted(docs: DataFrame, n: int, frequent=None, least: int = LEAST, lang: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if frequent is None else np.frombuffer(frequent.value, np.uint8)
         for _, tongues, texts, _ in blocks(batches):
-            block, _, _ = _block(tongues, texts)
+            block = _block(tongues, texts)
             found, times = np.unique(block.fingerprints(n)[block.possible(n, bits)], return_counts=True)
             if len(found):
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times, pa.int64())], names=["print", "n"])
@@ -220,51 +219,113 @@ def bit_table(prints: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return table
 
 
+def repeated(block: Block, at: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of the phrases of n words at these places, the first place of each and how often it occurs, in
+    one turn unless fingerprints collide.
+
+    Places of one fingerprint are compared with the bytes at the first; those that differ go on as
+    phrases of their own.
+    """
+    prints = block.fingerprints(n)
+    while len(at):
+        _, pointer, group = np.unique(prints[at], return_index=True, return_inverse=True)
+        same = block.same(at, at[pointer][group], n)
+        yield at[pointer], np.bincount(group[same], minlength=len(pointer))
+        at = at[~same]
+
+
+def _scan(docs: DataFrame, lang: str, sizes: list[int], tables: list) -> DataFrame:
+    """(lang, words, phrase, n, place) of all phrases of these sizes, combined per task; tables[n] is the
+    bit table of n words. With words of one alone, words 0 counts all words of the language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+
+        def rows() -> pa.RecordBatch:
+            keys = list(zip(*held)) or [(), (), ()]
+            values = list(zip(*held.values())) or [(), (), ()]
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys[0], pa.string()), pa.array(keys[1], pa.int32()),
+                 pa.array(keys[2], pa.binary()).cast(pa.string()), pa.array(values[0], pa.int64()),
+                 pa.array(values[1], id_type), pa.array(values[2], pa.int64())],
+                names=["lang", "words", "phrase", "n", "doc_id", "word"])
+
+        for ids, tongues, texts, before in blocks(batches):
+            block = _block(tongues, texts)
+            first_word = np.searchsorted(block.text, np.arange(len(texts)))
+            for n in sizes:
+                at = block.possible(n, _bits(tables, n - 1))
+                if n < len(tables):
+                    at = at[is_set(_bits(tables, n), block.fingerprints(n)[at])]
+                for first, times in repeated(block, at, n):
+                    if n == 1:  # most words of a block are no other block's: sent on as arrays
+                        yield words_of(block, tongues, first, times)
+                        continue
+                    for p, k in zip(first.tolist(), times.tolist()):
+                        t = int(block.text[p])
+                        key = (tongues[t], n, block.phrase(p, n))
+                        if key in held:
+                            held[key][0] += k
+                        else:
+                            held[key] = [k, ids[t], before[t] + p - int(first_word[t])]
+            if 1 in sizes:
+                for tongue, size in zip(tongues, np.bincount(block.text, minlength=len(texts)).tolist()):
+                    held.setdefault((tongue, 0, b""), [0, None, None])[0] += size
+            if len(held) >= HELD:
+                yield rows()
+        yield rows()
+
+    def words_of(block: Block, tongues: list[str], at: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        sizes = block.ends[at] - block.starts[at]
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        raw = block.bytes[ragged(block.starts[at], sizes)]
+        texts = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(tongues, pa.string()).take(pa.array(block.text[at])), pa.array(np.ones(len(at), np.int32)), texts,
+             pa.array(times.astype(np.int64)), pa.nulls(len(at), id_type), pa.nulls(len(at), pa.int64())],
+            names=["lang", "words", "phrase", "n", "doc_id", "word"])
+
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return (_inputs(docs, lang).mapInArrow(run, f"lang string, words int, phrase string, n long, doc_id {kind}, word long"))
+
+
+def _bits(tables: list, n: int) -> np.ndarray | None:
+    return np.frombuffer(tables[n].value, np.uint8) if 0 < n < len(tables) else None
+
+
+def _prints_of_words(words: DataFrame) -> DataFrame:
+    """(print) of single words (lang, phrase)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tongues, texts = (c.to_pylist() for c in batch.columns)
+            block = _block(tongues, [t.encode() for t in texts])
+            yield pa.RecordBatch.from_arrays([pa.array(block.fingerprints(1).view(np.int64))], names=["print"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "print long")
+
+
 def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, lang: str = "lang",
             filter_bits: int = FILTER_BITS) -> DataFrame:
     """(lang, words, phrase, n, doc_id, word): exact counts of all phrases of 1 to ``longest`` words that
-    occur ``least`` times or more in a language, with a place where each occurs; words 0: the language's
-    number of words."""
+    occur ``least`` times or more in a language, with a place where each of two words or more occurs;
+    words 0: the language's number of words."""
     spark = docs.sparkSession
-    tables = []
+    counts = [F.sum("n").alias("n"), F.min(F.struct("doc_id", "word")).alias("place")]
+    words = stored(_scan(docs, lang, [1], []).groupBy("lang", "words", "phrase").agg(counts[0])
+                   .where((F.col("n") >= least) | (F.col("words") == 0)), "words")
+    tables: list = [None]
+    prints = _prints_of_words(words.where("words = 1"))
     for n in range(1, longest + 1):
-        table = bit_table(counted(docs, n, tables[-1] if tables else None, least, lang), filter_bits)
+        table = bit_table(prints, filter_bits)
         if not table.any():
             break
         tables.append(spark.sparkContext.broadcast(table.tobytes()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, tongues, texts, before in blocks(batches):
-            block, names, which = _block(tongues, texts)
-            rows = [(names[k], 0, "", int(n), None, None) for k, n in
-                    enumerate(np.bincount(which[block.text], minlength=len(names)))]
-            first_word = np.searchsorted(block.text, np.arange(len(texts)))
-            bits = None
-            for n, table in enumerate(tables, 1):
-                at = block.possible(n, bits)
-                bits = np.frombuffer(table.value, np.uint8)
-                prints = block.fingerprints(n)
-                at = at[is_set(bits, prints[at])]
-                while len(at):
-                    _, pointer, group = np.unique(prints[at], return_index=True, return_inverse=True)
-                    same = block.same(at, at[pointer][group], n)
-                    times = np.bincount(group[same], minlength=len(pointer))
-                    for p, k in zip(at[pointer].tolist(), times.tolist()):
-                        t = int(block.text[p])
-                        rows.append((tongues[t], n, block.phrase(p, n), k, ids[t], before[t] + p - int(first_word[t])))
-                    at = at[~same]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)],
-                names=["lang", "words", "phrase", "n", "doc_id", "word"])
-
-    inputs = _inputs(docs, lang)
-    kind = docs.schema["doc_id"].dataType
-    kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), to_arrow_type(kind), pa.int64()]
-    place = F.min(F.struct("doc_id", "word"))
-    return (inputs.mapInArrow(run, f"lang string, words int, phrase string, n long, doc_id {kind.simpleString()}, word long")
-            .groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"), place.alias("place"))
-            .where((F.col("n") >= least) | (F.col("words") == 0))
-            .select("lang", "words", "phrase", "n", "place.doc_id", "place.word"))
+        prints = counted(docs, n + 1, tables[n], least, lang)
+    longer = (_scan(docs, lang, list(range(2, len(tables))), tables).groupBy("lang", "words", "phrase").agg(*counts)
+              .where(F.col("n") >= least))
+    return longer.select("lang", "words", "phrase", "n", "place.doc_id", "place.word").unionByName(
+        words, allowMissingColumns=True)
 
 
 def _joined(words, first, last) -> F.Column:
@@ -279,7 +340,9 @@ def collocations(found: DataFrame, covered: int = COVERED) -> DataFrame:
     ``covered`` percent of its count is dropped; looking one word further suffices, because counts never
     grow with length.
     """
-    totals = found.where("words = 0").select("lang", F.col("n").alias("total"))
+    dealt = salts(found)  # few languages: their rows are dealt to parts
+    totals = found.where("words = 0").select("lang", F.col("n").alias("total"),
+                                             F.explode(F.expr(f"sequence(0, {dealt - 1})")).alias("salt"))
     parts = found.where("words > 0").select("lang", "phrase", "n")
     longer = found.where("words > 1").withColumn("w", F.split("phrase", " "))
     cuts = (longer.select("lang", "phrase", "words", "w", F.col("n").alias("a"), "doc_id", "word",
@@ -288,7 +351,7 @@ def collocations(found: DataFrame, covered: int = COVERED) -> DataFrame:
             .withColumn("right", _joined(F.col("w"), F.col("k") + 1, F.col("words") - F.col("k"))))
     scored = (cuts.join(parts.select("lang", F.col("phrase").alias("left"), F.col("n").alias("l")), ["lang", "left"])
               .join(parts.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r")), ["lang", "right"])
-              .join(totals, "lang")
+              .withColumn("salt", F.pmod(F.hash("phrase"), F.lit(dealt))).join(totals, ["lang", "salt"])
               .withColumn("score", F.expr(f"cast({SCALE} * a as decimal(19, 0)) * cast(total as decimal(19, 0))"
                                           " div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))")))
     lowest = scored.groupBy("lang", "phrase").agg(
