@@ -31,3 +31,11 @@ def table(spark, folder: str, name: str) -> DataFrame:
 def salts(df: DataFrame) -> int:
     """Number of parts a hot group is dealt to: follows the session's shuffle width."""
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

@@ -5,7 +5,8 @@ verified winners (at most ``counters`` rows) are broadcast. Every other digest h
 ``2 n / (counters + 1)`` rows, so the shuffle has no hot key.
 
 Null text counts as empty. Rows without an id lose against rows with one. Rows that repeat an id and a
-text are one document to ``report``; ``deduplicated`` keeps one of them.
+text are one document to ``report``; ``deduplicated`` keeps one of them. Texts are hashed whole, however
+long. An empty table gives an empty table. Extra columns come back as given, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bitloom.llm.common import stored, whole_text
+from bitloom.llm.common import stored, unused, whole_text
 
 COUNTERS = 1000
 
@@ -83,11 +84,10 @@ def report(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 def deduplicated(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The documents with the largest id of each text, all columns as given."""
     digests = stored(docs.select("doc_id", digest().alias("digest")), "digests")
-    winners = heavy_winners(digests, counters).select(
-        F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
-    keyed = docs.withColumn("__digest", digest())
-    left = (keyed.join(F.broadcast(winners), "__digest", "left")
-            .where(F.col("__keep").isNull() | (F.col("doc_id") == F.col("__keep"))))
-    first = Window.partitionBy("__digest").orderBy(F.col("doc_id").desc_nulls_last())
-    return (left.withColumn("__rank", F.row_number().over(first)).where("__rank = 1")
+    key, keep, rank = (unused(docs, n) for n in ("digest", "keep_id", "rank"))
+    winners = heavy_winners(digests, counters).select(F.col("digest").alias(key), F.col("keep_id").alias(keep))
+    left = (docs.withColumn(key, digest()).join(F.broadcast(winners), key, "left")
+            .where(F.col(keep).isNull() | (F.col("doc_id") == F.col(keep))))
+    first = Window.partitionBy(key).orderBy(F.col("doc_id").desc_nulls_last())
+    return (left.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -3,23 +3,27 @@
 Overlapping heuristic labellers vote good, bad or nothing on every document. Expectation-maximisation over
 the counts of all vote patterns (at most 3 ** labellers, counted over the whole corpus) estimates how
 often each labeller is right, which gives each pattern a posterior. The posteriors of a bounded sample
-(``TRAINING_ROWS`` rows with the smallest hashed id) train a linear scorer over hashed text features,
-and the scorer judges every document.
+(``TRAINING_ROWS`` rows with the smallest hash) train a linear scorer over the hashed words and word
+pairs of the whole text and the steps of the labellers' measures, and the scorer judges every document.
 
-Null text counts as empty. A text without words is rejected: it has no features. Repeated rows get
-the same score.
+Null text counts as empty. A text without words is rejected: all labellers vote against it. Rows with
+the same text get the same score, whatever their ids; ties in the sample's hash are equal rows. A very
+long text is measured whole. An empty table gives an empty table. Extra columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +31,10 @@ from bitloom.llm.common import stored, whole_text
 from bitloom.operators.ranks import value_of_rank
 from bitloom.llm.spotsigs import ANCHORS
 
-TRAINING_ROWS = 20_000
-DIMENSIONS = 1 << 12
+TRAINING_ROWS = 8_000
+WORD_DIMENSIONS = 1 << 14
+STEP_DIMENSIONS = 1 << 12
+DIMENSIONS = WORD_DIMENSIONS + STEP_DIMENSIONS
 THRESHOLD = 0.5
 _SYMBOLS = "*#$%&|<>{}[]^~=+\\@_"
 _MARKS = re.compile(r"[^\w\s]+")
@@ -82,12 +88,12 @@ def votes(m: dict[str, float]) -> list[int]:
 LABELLERS = ("symbols", "repeats", "distinct", "common", "capitals", "shouts", "bars", "stops")
 
 
-def _features(text: str, m: dict[str, float]) -> dict[int, float]:
-    """Hashed features: runs of marks by frequency, every measure by its step on a log scale."""
+def step_features(text: str, m: dict[str, float]) -> dict[int, float]:
+    """Hashed features of the form: runs of marks by frequency, every measure by its step on a log scale."""
     out: dict[int, float] = {}
 
     def add(token: str, value: float) -> None:
-        at = zlib.crc32(token.encode()) % DIMENSIONS
+        at = WORD_DIMENSIONS + zlib.crc32(token.encode()) % STEP_DIMENSIONS
         out[at] = out.get(at, 0.0) + value
 
     add("bias", 1.0)
@@ -99,18 +105,53 @@ def _features(text: str, m: dict[str, float]) -> dict[int, float]:
     return out
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, at, value) of the lower-cased words and pairs of neighbours, in the order of rows.
+
+    A value is log(1 + occurrences); the values of a row have length one.
+    """
+    cut = [t.lower().split() for t in texts]
+    place: dict[str, int] = defaultdict(count().__next__)
+    used = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), dtype=np.int64)
+    word = np.fromiter(map(xxhash.xxh64_intdigest, place), dtype=np.uint64, count=len(place))[used]
+    row = np.repeat(np.arange(len(cut)), [len(words) for words in cut])
+    pair = (word[:-1] * np.uint64(3) + word[1:])[row[:-1] == row[1:]]
+    pair ^= pair >> np.uint64(32)
+    hashes = np.concatenate([word, pair])
+    rows = np.concatenate([row, row[:-1][row[:-1] == row[1:]]])
+    key, n = np.unique(rows * WORD_DIMENSIONS + (hashes % np.uint64(WORD_DIMENSIONS)).astype(np.int64), return_counts=True)
+    row, value = key // WORD_DIMENSIONS, np.log1p(n)
+    length = np.sqrt(np.bincount(row, value ** 2, len(texts)))
+    return row, key % WORD_DIMENSIONS, value / length[row]
+
+
+def features(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The vote pattern of each text and (row, at, value) of all features."""
+    found = [measures(t) for t in texts]
+    steps = [step_features(t, m) for t, m in zip(texts, found)]
+    row, at, value = word_features(texts)
+    patterns = ["".join("-0+"[v + 1] for v in votes(m)) for m in found]
+    return (patterns, np.concatenate([row, np.repeat(np.arange(len(texts)), [len(s) for s in steps])]),
+            np.concatenate([at, np.fromiter(chain.from_iterable(steps), dtype=np.int64)]),
+            np.concatenate([value, np.fromiter(chain.from_iterable(s.values() for s in steps), dtype=float)]))
+
+
+def _voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        patterns, at, value = [], [], []
-        for text in batch.column(1).to_pylist():
-            m = measures(text)
-            found = _features(text, m)
-            patterns.append("".join("-0+"[v + 1] for v in votes(m)))
-            at.append(list(found))
-            value.append(list(found.values()))
+        patterns = ["".join("-0+"[v + 1] for v in votes(measures(t))) for t in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.string()), batch.column(1)], names=["votes", "v"])
+
+
+def _packed_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        patterns, row, at, value = features(batch.column(0).to_pylist())
+        order = np.argsort(row, kind="stable")
+        cuts = np.searchsorted(row[order], np.arange(1, batch.num_rows))
+        ats = np.split(at[order].astype(np.uint16), cuts)
+        values = np.split(value[order].astype(np.float32), cuts)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(patterns), pa.array(at, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))],
-            names=["doc_id", "votes", "at", "value"])
+            [batch.column(1), pa.array(patterns, pa.string()), pa.array([a.tobytes() for a in ats], pa.binary()),
+             pa.array([x.tobytes() for x in values], pa.binary())], names=["v", "votes", "at", "value"])
 
 
 def fit_labellers(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str, float], np.ndarray]:
@@ -141,16 +182,15 @@ def fit_labellers(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str
     return dict(zip(names, posterior.tolist())), rates
 
 
-def train(rows: list[tuple[list[int], list[float], float]], rounds: int = 300, rate: float = 1.0,
+def train(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 100, rate: float = 1.0,
           decay: float = 1e-4) -> np.ndarray:
     """Logistic regression on soft labels by full gradient steps with per-weight step sizes."""
     weights = np.zeros(DIMENSIONS)
     if not rows:
         return weights
-    sizes = np.array([len(a) for a, _, _ in rows])
-    at = np.concatenate([np.array(a, dtype=np.int64) for a, _, _ in rows])
-    value = np.concatenate([np.array(v, dtype=float) for _, v, _ in rows])
-    row = np.repeat(np.arange(len(rows)), sizes)
+    at = np.concatenate([a for a, _, _ in rows])
+    value = np.concatenate([v for _, v, _ in rows]).astype(float)
+    row = np.repeat(np.arange(len(rows)), [len(a) for a, _, _ in rows])
     target = np.array([t for _, _, t in rows])
     squares = np.full(DIMENSIONS, 1e-8)
     for _ in range(rounds):
@@ -161,40 +201,40 @@ def train(rows: list[tuple[list[int], list[float], float]], rounds: int = 300, r
     return weights
 
 
-def sampled(rows: DataFrame, n: int, size: int) -> list:
-    """``size`` of n rows, those of smallest hash, in their order; the hash of rank ``size`` is found by
-    counting, so no more than these rows reach the driver. Rows of equal hash are equal."""
-    hashed = rows.select("at", "value", "votes", F.shiftrightunsigned(F.xxhash64("doc_id", "votes", "at", "value"), 2).alias("v"))
-    if n > size:
-        bound = value_of_rank(hashed.select("v"), size - 1)
-        below = hashed.where(F.col("v") < bound).collect()
-        found = below + hashed.where(F.col("v") == bound).limit(size - len(below)).collect()
-    else:
-        found = hashed.collect()
-    return sorted(found, key=lambda r: (r["v"], r["votes"]))
+def sampled(rows: DataFrame, values: DataFrame, n: int, size: int) -> DataFrame:
+    """``size`` of n rows, those of smallest ``v``, a hash of the row; ``values`` holds all rows' v.
+
+    The hash of rank ``size`` is found by counting. Rows of equal hash are equal.
+    """
+    if n <= size:
+        return rows
+    bound = value_of_rank(values.select("v"), size - 1)
+    below = values.where(F.col("v") < bound).count()
+    return rows.where(F.col("v") < bound).unionByName(rows.where(F.col("v") == bound).limit(size - below))
 
 
 def scored(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
     """(doc_id, votes, posterior, score) of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = stored(docs.select("doc_id", whole_text().alias("text")).mapInArrow(
-        _rows, f"doc_id {kind}, votes string, at array<int>, value array<float>"), "features")
-    patterns = {r["votes"]: r["n"] for r in rows.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = docs.select("doc_id", whole_text().alias("text"))
+    hashed = texts.select("text", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).alias("v"))
+    voted = stored(hashed.mapInArrow(_voted, "votes string, v long"), "votes")
+    patterns = {r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     posterior, _ = fit_labellers(patterns)
-    sample = sampled(rows, sum(patterns.values()), training_rows)
-    weights = train([(r["at"], r["value"], posterior[r["votes"]]) for r in sample])
+    sample = (sampled(hashed, voted, sum(patterns.values()), training_rows)
+              .mapInArrow(_packed_features, "v long, votes string, at binary, value binary").collect())
+    weights = train([(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["value"], np.float32), posterior[r["votes"]])
+                     for r in sorted(sample, key=lambda r: (r["v"], r["votes"]))])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, value = batch.column(2), batch.column(3)
-            row = np.repeat(np.arange(batch.num_rows), np.diff(at.offsets.to_numpy()))
-            sums = np.bincount(row, weights[at.flatten().to_numpy()] * value.flatten().to_numpy(), batch.num_rows)
-            chance = [posterior[p] for p in batch.column(1).to_pylist()]
+            found, row, at, value = features(batch.column(1).to_pylist())
+            sums = np.bincount(row, weights[at] * value, batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(chance, pa.float64()), pa.array(1 / (1 + np.exp(-sums)))],
-                names=["doc_id", "votes", "posterior", "score"])
+                [batch.column(0), pa.array(found, pa.string()), pa.array([posterior[p] for p in found], pa.float64()),
+                 pa.array(1 / (1 + np.exp(-sums)))], names=["doc_id", "votes", "posterior", "score"])
 
-    return rows.mapInArrow(judge, f"doc_id {kind}, votes string, posterior double, score double")
+    return texts.mapInArrow(judge, f"doc_id {kind}, votes string, posterior double, score double")
 
 
 def report(docs: DataFrame, threshold: float = THRESHOLD, training_rows: int = TRAINING_ROWS) -> DataFrame:

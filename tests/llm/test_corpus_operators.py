@@ -11,6 +11,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -272,6 +273,13 @@ def test_exact(docs):
         assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == sorted((i, t) for t, i in largest.items())
 
 
+def test_exact_keeps_columns_named_like_its_own(spark):
+    names = ["digest", "DIGEST_", "keep_id", "rank", "__digest", "__keep", "__rank"]
+    rows = spark.range(6).selectExpr("id AS doc_id", "if(id < 4, 'same', 'other') AS text", *[f"id * 10 AS `{n}`" for n in names])
+    got = rows_of(exact.deduplicated(rows))
+    assert sorted(r["doc_id"] for r in got) == [3, 5] and all(r[n] == 10 * r["doc_id"] for r in got for n in names)
+
+
 def test_misra_gries_finds_the_heavy(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("text"))
     winners = exact.heavy_winners(df.select("doc_id", exact.digest().alias("digest")), 10).collect()
@@ -326,9 +334,66 @@ def test_texts_of_one_id_are_numbered(spark):
 
 
 def test_sample_of_the_classifier(spark):
-    rows = spark.range(500).selectExpr("if(id < 300, null, id) AS doc_id", "'++' AS votes", "array(int(id % 5)) AS at", "array(float(1)) AS value")
-    assert len(quality.sampled(rows, 500, 90)) == 90 and len(quality.sampled(rows, 500, 500)) == 500
-    assert quality.sampled(rows, 500, 90) == quality.sampled(rows.repartition(7), 500, 90)
+    rows = spark.range(500).selectExpr("if(id < 300, 7, id * 11 % 601) AS v", "'t' AS text")
+    for size in (90, 350, 500, 900):
+        found = sorted(r["v"] for r in quality.sampled(rows, rows, 500, size).collect())
+        assert found == sorted(r["v"] for r in rows.collect())[:size]
+
+
+def plain_features(text):
+    """The scorer's features without numpy: words, pairs and steps."""
+    words, out = text.lower().split(), Counter()
+    for i, word in enumerate(words):
+        out[xxhash.xxh64_intdigest(word) % quality.WORD_DIMENSIONS] += 1
+        if i:
+            pair = (3 * xxhash.xxh64_intdigest(words[i - 1]) + xxhash.xxh64_intdigest(word)) % 2 ** 64
+            out[(pair ^ (pair >> 32)) % quality.WORD_DIMENSIONS] += 1
+    logs = {at: math.log(1 + n) for at, n in out.items()}
+    length = math.sqrt(sum(x * x for x in logs.values()))
+    return {at: x / length for at, x in logs.items()} | quality.step_features(text, quality.measures(text))
+
+
+def plain_scores(texts):
+    """(posterior, score) of every text: expectation-maximisation and training row by row."""
+    voted = [quality.votes(quality.measures(t)) for t in texts]
+    n, labellers = len(texts), len(quality.LABELLERS)
+    chance = [min(0.95, max(0.05, 0.5 + sum(v) / labellers / 2)) for v in voted]
+    for _ in range(100):
+        rate = {(c, k, side): (1 + sum(w for w, v in zip(weights, voted) if v[k] == side))
+                for c, weights in ((0, [1 - p for p in chance]), (1, chance)) for k in range(labellers) for side in (-1, 1)}
+        both = {(c, k): rate[c, k, -1] + rate[c, k, 1] for c in (0, 1) for k in range(labellers)}
+        prior = [(sum(1 - p for p in chance) + 1) / (n + 2), (sum(chance) + 1) / (n + 2)]
+        before, chance = chance, []
+        for v in voted:
+            log = [math.log(prior[c]) + sum(math.log(rate[c, k, side] / both[c, k]) for k, side in enumerate(v) if side)
+                   for c in (0, 1)]
+            chance.append(1 / (1 + math.exp(min(50, max(-50, log[0] - log[1])))))
+        if max(abs(a - b) for a, b in zip(before, chance)) < 1e-9:
+            break
+    found = [plain_features(t) for t in texts]
+    weights, squares = Counter(), {}
+    for _ in range(100):
+        slope = Counter()
+        for own, target in zip(found, chance):
+            miss = 1 / (1 + math.exp(-sum(weights[at] * x for at, x in own.items()))) - target
+            for at, x in own.items():
+                slope[at] += miss * x / n
+        for at in slope:
+            step = slope[at] + 1e-4 * weights[at]
+            squares[at] = squares.get(at, 1e-8) + step ** 2
+            weights[at] -= step / math.sqrt(squares[at])
+    return [(p, 1 / (1 + math.exp(-sum(weights[at] * x for at, x in own.items())))) for p, own in zip(chance, found)]
+
+
+def test_quality_against_plain_training(spark, docs):
+    rows = frame(spark, given() + [(100 + i, mark * 30) for i, mark in enumerate(["# | ", "BUY NOW! ", "spam spam "])])
+    texts = [r["text"] or "" for r in rows.select("text").collect()]
+    plain = dict(zip(texts, plain_scores(texts)))
+    found = quality.scored(rows).join(rows.select("doc_id", "text").distinct(), "doc_id").where("doc_id <> 18").collect()
+    assert len(found) == 21
+    for row in found:
+        posterior, score = plain[row["text"] or ""]
+        assert abs(row["posterior"] - posterior) < 1e-9 and abs(row["score"] - score) < 1e-3
 
 
 def test_spans_of_all_rules(spark):
@@ -474,3 +539,69 @@ def test_pipeline_stages(spark, docs):
     pieces = corpus_pipeline.pack(spark, left, DATA)
     assert {r["doc_id"] for r in pieces.select("doc_id").collect()} == {r["doc_id"] for r in left.collect()}
     assert corpus_pipeline.run(spark, DATA).count() > 0
+
+
+def plain_classes(rows):
+    """The smallest id of each row's class at 0.8 of five-word shingles, by comparing all pairs."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append(frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9:
+                root = [root[b] if x == root[a] else x for x in root]
+    return [min(rows[k][0] for k in range(len(rows)) if root[k] == r) for r in root]
+
+
+def masked(text):
+    """The text with every run of overlapping spans replaced, character by character."""
+    marks = [0] * len(text)
+    for n, span in enumerate(base_spans(text), 1):
+        _, start, end = span.split(":")
+        joined = {marks[k] for k in range(int(start), int(end))} - {0}
+        for k in range(len(text)):
+            if int(start) <= k < int(end) or marks[k] in joined:
+                marks[k] = n
+    return "".join("" if m and k and marks[k - 1] == m else "<secret>" if m else c for k, (c, m) in enumerate(zip(text, marks)))
+
+
+def test_pipeline_against_plain_stages(spark):
+    """The rows that every stage keeps, against plain re-computations from the stage's own input."""
+    rng = random.Random(4)
+    body = [" ".join(rng.choice(["the", "of", "and", "to"] + [f"q{i}" for i in range(90)]) for _ in range(150)) + "." for _ in range(8)]
+    extra = body + [body[0], body[1] + " tail.", body[2].replace(" ", "  ", 3), body[3] + " " + SECRET + " " + "AKIA" + "7C" * 9,
+                    "0f" * 9 + " " + body[4], "# | " * 40, "BUY NOW! " * 40, "spam " * 90, "| # $ ! " * 60, body[5] + "\n" + body[5] * 25]
+    rows = [(i, t) for i, t in given() if i is not None] + [(100 + k, t) for k, t in enumerate(extra)]
+    docs, kept = frame(spark, rows), []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, DATA)
+        assert docs.columns == frame(spark, []).columns
+        found = docs.collect()
+        kept.append(sorted((r["doc_id"], r["text"]) for r in found if r["text"] is not None)
+                    + sorted((r["doc_id"], None) for r in found if r["text"] is None))
+        docs = spark.createDataFrame(found, docs.schema)
+    order = lambda found: sorted((x for x in found if x[1] is not None)) + sorted(x for x in found if x[1] is None)
+    good = {i for (i, _), (_, score) in zip(rows, plain_scores([t or "" for _, t in rows])) if score >= 0.5}
+    assert kept[0] == order((i, t) for i, t in rows if i in good) and len(kept[0]) < len(rows)
+    last = {t or "": (i, t) for i, t in sorted(kept[0], key=lambda r: r[0])}
+    assert kept[1] == order(last.values()) and len(kept[1]) < len(kept[0])
+    # rows of one id (18 holds two texts at most) stay or go together
+    least = {i for (i, _), first in zip(kept[1], plain_classes(kept[1])) if i == first}
+    assert kept[2] == order((i, t) for i, t in kept[1] if i in least) and len(kept[2]) < len(kept[1])
+    assert kept[3] == order((i, t and masked(t)) for i, t in kept[2]) and kept[3] != kept[2]
+    tokenizer, pieces, places = Tokenizer.from_file(WORDS), Counter(), {}
+    for r in corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect():
+        pieces[r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]] += 1
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["offset"] + r["length"]))
+    want = Counter()
+    for i, t in kept[3]:
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+        for s in range(0, len(ids), 2048):
+            raw = b"".join(n.to_bytes(4, "little") for n in ids[s:s + 2048])
+            want[i, s, len(ids[s:s + 2048]), zlib.crc32(raw), len(ids)] += 1
+    assert pieces == want
+    for spans in places.values():
+        ends = [0] + [end for _, end in sorted(spans)]
+        assert [start for start, _ in sorted(spans)] == ends[:-1] and ends[-1] <= 2048
