@@ -32,6 +32,7 @@ from bitloom.operators.ranks import value_of_rank
 from bitloom.llm.spotsigs import ANCHORS
 
 TRAINING_ROWS = 8_000
+BLOCK_ROWS = 256
 WORD_DIMENSIONS = 1 << 14
 STEP_DIMENSIONS = 1 << 12
 DIMENSIONS = WORD_DIMENSIONS + STEP_DIMENSIONS
@@ -184,18 +185,27 @@ def fit_labellers(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 100, rate: float = 1.0,
           decay: float = 1e-4) -> np.ndarray:
-    """Logistic regression on soft labels by full gradient steps with per-weight step sizes."""
+    """Logistic regression on soft labels by full gradient steps with per-weight step sizes.
+
+    The rows are gone through in blocks, so working arrays are small beside the features.
+    """
     weights = np.zeros(DIMENSIONS)
     if not rows:
         return weights
-    at = np.concatenate([a for a, _, _ in rows])
-    value = np.concatenate([v for _, v, _ in rows]).astype(float)
-    row = np.repeat(np.arange(len(rows)), [len(a) for a, _, _ in rows])
-    target = np.array([t for _, _, t in rows])
+    blocks = []
+    for k in range(0, len(rows), BLOCK_ROWS):
+        part = rows[k:k + BLOCK_ROWS]
+        blocks.append((np.concatenate([a for a, _, _ in part]), np.concatenate([v for _, v, _ in part]),
+                       [len(a) for a, _, _ in part], np.array([t for _, _, t in part])))
+    total = len(rows)
+    del rows
     squares = np.full(DIMENSIONS, 1e-8)
     for _ in range(rounds):
-        guess = 1 / (1 + np.exp(-np.bincount(row, weights[at] * value, len(rows))))
-        slope = np.bincount(at, (guess - target)[row] * value, DIMENSIONS) / len(rows) + decay * weights
+        slope = decay * weights
+        for at, value, sizes, target in blocks:
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            guess = 1 / (1 + np.exp(-np.bincount(row, weights[at] * value, len(sizes))))
+            slope += np.bincount(at, (guess - target)[row] * value, DIMENSIONS) / total
         squares += slope ** 2
         weights -= rate * slope / np.sqrt(squares)
     return weights
