@@ -2,9 +2,14 @@
 
 Level 0 encodes the listed keys; each further level encodes the keys of the other kind that the level
 before lets through, over the complete set of keys in the corpus. A key's answer is the parity of the
-first level that does not hold it, which is exact for every key of that set; no page is joined.
-
-A null url, or one without ``://``, has an empty host and path. Repeated pages are judged alike.
+first level that does not hold it, which is exact for every key of that set; no page is joined. A list
+whose filters would pass ``MAX_BYTES`` is not broadcast: its hosts are joined with the pages instead, with
+the same verdicts.
+
+A null url, or one without ``://``, has an empty host and path. Repeated pages are judged alike, and a
+page's other columns are ignored. An empty table or list gives an empty table or no listed host. The
+longest fitting rule wins; two of one length cannot fit one page unless they are the same. A url is read
+whole, however long.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BYTES = 64 << 20  # of all levels together; a longer list raises instead of being broadcast
+MAX_BYTES = 64 << 20  # of all levels together; hosts of a longer list are joined
 MAX_LEVELS = 64
 _HASHES = 3
 _BITS_PER_KEY = 6
@@ -106,27 +111,31 @@ def _level(keys: DataFrame, level: int, n: int) -> np.ndarray:
     return out
 
 
-def build(listed: DataFrame, universe: DataFrame, key: str, max_bytes: int = MAX_BYTES) -> list[np.ndarray]:
+def build(listed: DataFrame, universe: DataFrame, key: str, max_bytes: int = MAX_BYTES) -> list[np.ndarray] | None:
     """The cascade of the listed keys over the universe, both frames of distinct keys.
 
     Every level halves at least what is left, so the sizes sum up to a small multiple of the list's.
-    Raises if the filters would exceed ``max_bytes``, or if two keys cannot be told apart by their hash.
+    None if the filters would exceed ``max_bytes``, or if a listed key and another one have one hash.
     """
     inside = listed.select(_key(key).alias("hash")).distinct()
-    outside = universe.select(_key(key).alias("hash")).distinct().join(inside, "hash", "left_anti")
+    n = inside.count()
+    if n * _BITS_PER_KEY > 8 * max_bytes:
+        return None
+    outside = universe.join(listed.select(key), key, "left_anti").select(_key(key).alias("hash")).distinct()
+    if n and not outside.join(inside, "hash", "left_semi").isEmpty():
+        return None
     levels: list[np.ndarray] = []
     used = 0
-    while True:
-        n = inside.count()
-        if not n:
-            return levels
+    while n:
         used += max(8, -(-n * _BITS_PER_KEY // 8))
         if used > max_bytes or len(levels) == MAX_LEVELS:
-            raise ValueError("the list is too long for one cascade: split it by a hash of the host")
+            return None
         level = len(levels)
         levels.append(_level(inside, level, n))
         held = F.pandas_udf(_tester(levels[level], level), "boolean")
         inside, outside = outside.where(held("hash")), inside
+        n = inside.count()
+    return levels
 
 
 def _tester(filter_: np.ndarray, level: int):
@@ -153,11 +162,27 @@ def fitting_rule(rules: tuple[PathRule, ...] = RULES) -> Column:
     return out
 
 
-def judge(pages: DataFrame, labels: tuple[str, ...] = LISTED_LABELS, rules: tuple[PathRule, ...] = RULES) -> DataFrame:
-    """Every page's host, path, rule and verdict: the rule's, else block for listed hosts."""
+def with_listed(pages: DataFrame, listed: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Adds ``listed``: whether the page's ``host`` is one of the frame's, by the cascade where it fits."""
+    universe = pages.select("host").distinct()
+    listed = listed.select(F.col("host")).distinct().join(universe, "host", "left_semi")
+    levels = build(listed, universe, "host", max_bytes)
+    if levels is not None:
+        return pages.withColumn("listed", member(levels, "host"))
+    return (pages.join(listed.withColumn("listed", F.lit(True)), "host", "left")
+            .withColumn("listed", F.coalesce("listed", F.lit(False))))
+
+
+def judge(pages: DataFrame, labels: tuple[str, ...] = LISTED_LABELS, rules: tuple[PathRule, ...] = RULES,
+          listed: DataFrame | None = None, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Every page's host, path, rule and verdict: the rule's, else block for listed hosts.
+
+    ``listed`` is a table with a column ``host`` (lower case; nulls, repeats and hosts of no page do no
+    harm); without it the corpus's hosts with one of the ``labels`` are listed.
+    """
     parsed = pages.select("page_id", host().alias("host"), path().alias("path"))
-    universe = parsed.select("host").distinct()
-    levels = build(listed_hosts(universe, labels), universe, "host")
-    return (parsed.withColumns({"fit": fitting_rule(rules), "listed": member(levels, "host")})
+    if listed is None:
+        listed = listed_hosts(parsed.select("host").distinct(), labels)
+    return (with_listed(parsed, listed, max_bytes).withColumn("fit", fitting_rule(rules))
             .select("page_id", "host", "path", F.col("fit.rule").alias("rule"),
                     F.coalesce("fit.verdict", F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict")))

@@ -527,6 +527,42 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert wrong.count() == 0 and url_filter.build(keys.limit(0), keys, "host") == []
 
 
+def test_host_list_from_a_table(spark):
+    """The cascade and the join beyond its bound give one verdict; nulls, repeats and strange hosts do no harm."""
+    pages = spark.range(600).select(F.col("id").alias("page_id"), F.expr("concat('http://h', id % 200, '.net/', id)").alias("url"),
+                                    F.lit("clash").alias("listed"), F.lit("clash").alias("host"))
+    pages = pages.unionByName(spark.createDataFrame([(600, None, "x", "x")], pages.schema))
+    hosts = [f"h{i}.net" for i in range(0, 200, 3)]
+    listed = spark.createDataFrame([(h, 1) for h in hosts + hosts[:5] + [None, "elsewhere.net"]], "host string, listed int")
+    want = {i: "block" if f"h{i % 200}.net" in hosts and i < 600 else "allow" for i in range(601)}
+    for bound in (url_filter.MAX_BYTES, 8, 0):
+        got = [(r["page_id"], r["verdict"]) for r in url_filter.judge(pages, listed=listed, max_bytes=bound).collect()]
+        assert len(got) == 601 and dict(got) == want
+    keys = listed.select("host").dropna().distinct()
+    assert url_filter.build(keys, keys, "host", 8) is None and url_filter.build(keys, keys, "host") is not None
+    assert {r["verdict"] for r in url_filter.judge(pages, listed=listed.limit(0)).collect()} == {"allow"}
+
+
+def test_components_with_a_hub(spark):
+    """Hubs, chains, loops, repeated and null ends against a plain search."""
+    rng = random.Random(8)
+    edges = [(0, i) for i in range(1, 3000)] + [(5000 + i, 5001 + i) for i in range(60)] + [(9000, 8000), (8000, 8000), (7, 7)]
+    edges += [(rng.randint(10_000, 10_400), rng.randint(10_000, 10_400)) for _ in range(260)] + [(4999, 2000 + i) for i in range(900)]
+    rng.shuffle(edges)
+    root = {n: n for e in edges for n in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    df = spark.createDataFrame(edges + edges[:50] + [(None, 3), (3, None)], "a long, b long")
+    found = [tuple(r) for r in components.components(df).collect()]
+    assert len(found) == len(dict(found)) and dict(found) == {n: r for n, r in root.items() if n != r}
+    assert components.components(df.limit(0)).count() == 0
+
+
 def test_pipeline_stages(spark, docs):
     """Every stage keeps what brute force keeps and returns the columns of documents."""
     left = docs
