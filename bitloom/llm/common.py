@@ -39,3 +39,15 @@ def unused(df: DataFrame, name: str) -> str:
     while name in taken:
         name += "_"
     return name
+
+
+def join_dealt(rows: DataFrame, side: DataFrame, key: str, spread: str) -> DataFrame:
+    """Inner join with a side of at most one row per key; the rows of a hot key are dealt to salts.
+
+    ``spread`` names a column that differs among the rows of a key. The side meets each key once per salt
+    that occurs, so a key with few rows is not repeated more often than it has rows.
+    """
+    salt = unused(rows, "salt")
+    dealt = rows.withColumn(salt, F.pmod(F.hash(spread), F.lit(salts(rows))))
+    wanted = dealt.select(key, salt).distinct().join(side, key)
+    return dealt.join(wanted, [key, salt]).drop(salt)

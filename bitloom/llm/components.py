@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitloom.llm.common import salts, stored
+from bitloom.llm.common import join_dealt, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -13,35 +13,23 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(mix)).first())
 
 
-def _with_low(edges: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b, low) of every edge and (a, low): the smallest b around each a.
-
-    The edges of one a are dealt to ``parts`` salts, so a hub is neither grouped nor joined in one task.
-    """
-    dealt = edges.withColumn("salt", F.pmod(F.hash("b"), F.lit(parts)))
-    partial = dealt.groupBy("a", "salt").agg(F.min("b").alias("low"))
-    lows = partial.groupBy("a").agg(F.min("low").alias("low"))
-    back = partial.select("a", "salt").join(lows, "a")  # at most `parts` rows of one a
-    return dealt.join(back, ["a", "salt"]).select("a", "b", "low"), lows
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that is not its component's smallest, from pairs (a, b) of longs.
 
     Each round links the neighbours above a node, then those below it, to the smallest one around; the
     number of rounds grows with the logarithm of the component's size. Each round is written to the
-    shared folder. Null ends and pairs of a node with itself are ignored, repeated pairs count once.
+    shared folder. The neighbours of a hub are dealt to salts. Null ends and pairs of a node with itself
+    are ignored, repeated pairs count once.
     """
-    parts = salts(edges)
     edges = stored(edges.where("a <> b").distinct(), "edges")
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        around, _ = _with_low(both, parts)
-        large = (around.where("b > a").select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
-                 .where("a <> b").distinct())
-        around, lows = _with_low(large, parts)
-        small = around.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
+        lows = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
+        large = (join_dealt(both.where("b > a"), lows, "a", "b")
+                 .select(F.col("b").alias("a"), F.col("low").alias("b")))
+        lows = large.groupBy("a").agg(F.min("b").alias("low"))
+        small = join_dealt(large, lows, "a", "b").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
         edges = stored(small.unionByName(lows.select("a", F.col("low").alias("b"))).distinct(), "edges")
         before, state = state, _state(edges)
         if state == before:

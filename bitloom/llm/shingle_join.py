@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitloom.llm.common import stored, whole_text
+from bitloom.llm.common import join_dealt, stored, whole_text
 from bitloom.llm.components import components
 
 SHINGLE = 5
@@ -210,7 +210,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE,
     clusters = coarse_clusters(rows.where("size > 0").dropDuplicates(["node"]).select("node", "paths"))
     # chunks by hash: about `chunk` sets each, whatever the cluster's size
     parts = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts"))
-    members = (clusters.join(parts, "cluster").join(groups, "node")
+    members = (join_dealt(clusters, parts, "cluster", "node").join(groups, "node")
                .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     blocks = (members.withColumn("other", F.explode(every))
@@ -227,9 +227,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE,
     near = components(found.select(F.col("node").alias("a"), F.col("near").alias("b")))
     named = groups.join(near, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    sets = (named.join(ids, "root").join(links, "node", "left")
+    sets = (join_dealt(named, ids, "root", "node").join(links, "node", "left")
             .select("node", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    return rows.select("doc_id", "node", "size").join(sets, "node").select(
+    return join_dealt(rows.select("doc_id", "node", "size"), sets, "node", "doc_id").select(
         "doc_id", "class_id", "n_links", F.col("size").alias("n_shingles"),
         F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
