@@ -24,4 +24,4 @@ TSV_PAIR = _struct(source=_S, target=_S)
 TRANSLATIONS = _struct(source=_S, reference=_S, hypothesis=_S)
 MANIFEST = _struct(name=_S, path=_S, count=_L, content_hash=_S, stored_at=T.TimestampType())
 TOKEN_MAP = T.ArrayType(_struct(token=_S, original=_S))
-SHIFT_EDITS = _struct(edits=_L, shifts=_L)
+SHIFT_EDITS = _struct(edits=_L, shifts=_L, ref_len=_L)

@@ -228,3 +228,68 @@ def test_null_texts_count_as_empty(spark):
     assert [r["ter_edits"] for r in counted] == [2, 2, 0, 0]
     assert [r["bleu_ref_len"] for r in counted] == [0, 2, 0, 0]
     assert all(sum(r["bleu_match"]) == 0 and sum(r["chrf_match"]) == 0 for r in counted)
+
+
+def test_pairs_searched_together_equal_each_alone(monkeypatch):
+    """One table per block of pairs, not one per pair."""
+    import numpy as np
+
+    rng = random.Random(6)
+    hyps, refs = [], []
+    for k in range(60):
+        ref = [rng.randrange(30) for _ in range(rng.choice([0, 1, 4, 30, 150]))]
+        hyp = ref[2:5] + ref[:2] + ref[5:] if k % 2 else [w for i, w in enumerate(ref) if (i + k) % 7]
+        hyps.append(np.array(hyp if k % 5 else hyp[:1], np.int64))
+        refs.append(np.array(ref, np.int64))
+    alone = [kernels.shift_edits(h, r) for h, r in zip(hyps, refs)]
+    assert any(shifts for shifts, _ in alone)
+    built, plain = [], kernels._Beams.__init__
+
+    def counted(self, *args):
+        built.append(len(args[0]))
+        plain(self, *args)
+
+    monkeypatch.setattr(kernels._Beams, "__init__", counted)
+    assert kernels.shift_edits_of(hyps, refs) == alone
+    assert max(built) > 10 and len(built) < 30
+    monkeypatch.setattr(kernels, "_CELLS", 1 << 12)
+    assert kernels.shift_edits_of(hyps, refs) == alone
+
+
+def test_one_sort_counts_all_orders(monkeypatch):
+    """Also with so many different items that a gram does not fit in a long."""
+    import numpy as np
+    from collections import Counter
+
+    rng = np.random.default_rng(7)
+    for top, order in ((3, 6), (5, 4), (60_000, 6), (1 << 20, 4), (1 << 20, 2)):
+        sizes = [rng.integers(0, 60, 7) for _ in range(2)]
+        ids = [rng.integers(0, top, s.sum()) for s in sizes]
+        ids[0][0] = ids[1][-1] = top - 1
+        same = min(map(len, ids)) // 2
+        ids[1][:same] = ids[0][:same]
+        rows = [np.split(i, np.cumsum(s)[:-1]) for i, s in zip(ids, sizes)]
+        want = [[sum((Counter(tuple(h[i:i + n]) for i in range(len(h) - n + 1))
+                      & Counter(tuple(r[i:i + n]) for i in range(len(r) - n + 1))).values())
+                 for n in range(1, order + 1)] for h, r in zip(*rows)]
+        sorts = []
+        monkeypatch.setattr(kernels.np, "unique", lambda *a, f=np.unique, **k: sorts.append(1) or f(*a, **k))
+        assert kernels.clipped_matches(ids, sizes, order).tolist() == want
+        monkeypatch.undo()
+        assert len(sorts) <= 1
+
+
+def test_chrf_counts_of_odd_words(spark):
+    rows = [("a(b, (c) !! . x　y\U0001d7d8.", "a(b , c) !! . \xa0 y\U0001d7d8 ."), (" ", "."), ("", "")]
+    got = metrics.chrf_counts(frame(spark, rows)).orderBy("i").collect()
+    assert [(r["chrf_hc"], r["chrf_rc"], r["chrf_hw"], r["chrf_rw"]) for r in got] == [
+        (14, 12, 10, 9), (0, 1, 0, 1), (0, 0, 0, 0)]
+    assert list(got[1]["chrf_match"]) == [0] * 8
+    assert list(got[0]["chrf_match"])[6:] == [8, 5]
+
+
+def test_metrics_send_plain_texts_to_the_kernels(spark):
+    """No regular expression runs over every character before chrF++ and TER."""
+    rows = frame(spark, [("a b", "a b")])
+    for counted in (metrics.chrf_counts, metrics.ter_counts):
+        assert "split(" not in counted(rows)._jdf.queryExecution().optimizedPlan().toString()
