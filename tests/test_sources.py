@@ -222,3 +222,12 @@ def test_wrong_header_and_open_quote(spark, tmp_path):
     assert tables.read_translations(spark, f"{tmp_path}/y.csv").where("source = 'a'").count() == 1
     write(f"{tmp_path}/z.csv", "source,reference,hypothesis\n")
     assert tables.read_translations(spark, f"{tmp_path}/z.csv").count() == 0
+
+
+def test_benchmark_alignment_joins_documents_and_pages(spark, tmp_path):
+    from bitloom.plans import pair_queries
+
+    spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(2, "<p>"), (3, "<q>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    rows = pair_queries.benchmark_alignment(spark, str(tmp_path)).select("sample_id", "source", "target").collect()
+    assert sorted(map(tuple, rows)) == [("flores_1", "a", "nl: a"), ("flores_2", "b", "nl: b"), ("page_2", "b", "<p>")]
