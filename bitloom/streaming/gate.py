@@ -20,13 +20,17 @@ def run_gate(stream: DataFrame, accepted: str, rejected: str, checkpoint: str,
              available_now: bool = True) -> StreamingQuery:
     """Writes accepted and rejected rows to two parquet folders.
 
-    Every micro-batch owns a subfolder that a replay overwrites, so a restart adds no duplicates.
+    Every micro-batch owns a subfolder that a replay overwrites, so a restart adds no duplicates. Its rated
+    rows are stored below the checkpoint meanwhile.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # rated once and stored: a cache would give each task all texts of a file's part, unpacked
+        stored = f"{checkpoint}/rated"
+        batch.write.mode("overwrite").parquet(stored)
+        rated = batch.sparkSession.read.schema(batch.schema).parquet(stored)
         for path, test in ((accepted, "accepted"), (rejected, "not accepted")):
-            batch.where(test).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        batch.unpersist()
+            rated.where(test).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rated.limit(0).write.mode("overwrite").parquet(stored)
 
     writer = gated(stream).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

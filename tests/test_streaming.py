@@ -85,3 +85,21 @@ def test_percentiles_are_exact(spark):
     rows = spark.range(200_000).selectExpr("timestamp'2024-01-01 00:00:00' AS ts", "double(id * 7919 % 200000) AS latency", "false AS is_error")
     row = monitor.window_metrics(rows, "1 day").first()
     assert [row[f"latency_p{p}"] for p in (50, 95, 99)] == [99_999.0, 189_999.0, 197_999.0]
+
+
+def test_gate_holds_no_batch_in_a_cache(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from bitloom.plans import views
+    from bitloom.streaming import files, gate
+
+    spark.createDataFrame([(i, "Some text that ends.") for i in range(40)], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    rows = views.with_scores(views.decorate(files.table_stream(spark, str(tmp_path), "documents")))
+    kept = []
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(1) or self)
+    gate.run_gate(rows, f"{tmp_path}/a", f"{tmp_path}/r", f"{tmp_path}/state").awaitTermination()
+    sides = [spark.read.parquet(f"{tmp_path}/{side}") for side in "ar"]
+    assert not kept and sides[0].where("not accepted").isEmpty() and sides[1].where("accepted").isEmpty()
+    assert sorted(r["row_idx"] for side in sides for r in side.collect()) == list(range(40))
+    assert spark.read.parquet(f"{tmp_path}/state/rated").isEmpty()
