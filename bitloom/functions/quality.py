@@ -60,12 +60,18 @@ def brace_set(text: Column) -> Column:
     return tx.sorted_set(tx.matches(text, config.BRACE_PLACEHOLDER))
 
 
-def error_types(source: Column, translation: Column, reference: Column | None = None) -> Column:
-    """Detected error types in their fixed order."""
-    ratio = tx.guarded_ratio(F.size(tx.words(translation)), F.size(tx.words(source)), 1.0)
+def lowered_words(text: Column) -> Column:
+    return tx.words(F.lower(text))
+
+
+def error_types(source: Column, translation: Column, reference: Column | None = None,
+                translated: Column | None = None) -> Column:
+    """Detected error types in their fixed order. ``translated``: the translation's lowered words, where a
+    column holds them."""
+    translated = lowered_words(translation) if translated is None else translated
+    ratio = tx.guarded_ratio(F.size(translated), F.size(tx.words(source)), 1.0)
     source_set = brace_set(source)
-    foreign = F.filter(tx.words(F.lower(translation)),
-                       lambda w: w.isin(config.UNTRANSLATED_WORDS))
+    foreign = F.filter(translated, lambda w: w.isin(config.UNTRANSLATED_WORDS))
     tests = [
         F.when((ratio < 0.5) | (ratio > 2.0), "length_mismatch"),
         F.when((F.size(source_set) > 0) & (source_set != brace_set(translation)),
@@ -73,8 +79,8 @@ def error_types(source: Column, translation: Column, reference: Column | None =
         F.when(F.size(foreign) >= 2, "untranslated"),
     ]
     if reference is not None:
-        wanted = F.array_distinct(tx.words(F.lower(reference)))
-        found = F.array_intersect(wanted, tx.words(F.lower(translation)))
+        wanted = F.array_distinct(lowered_words(reference))
+        found = F.array_intersect(wanted, translated)
         share = tx.guarded_ratio(F.size(found), F.size(wanted), 0.0)
         tests.append(F.when((reference != "") & (share < 0.3), "semantic_divergence"))
     return F.array_compact(F.array(*tests))
@@ -92,17 +98,15 @@ def edit_effort(quality: Column, word_ratio: Column | None = None) -> Column:
     return F.when(word_ratio.isNotNull(), by_ratio).otherwise(by_class)
 
 
-def adjacent_repeats(text: Column) -> Column:
+def adjacent_repeats(text: Column, lowered: Column | None = None) -> Column:
     """How often a word equals the word before it, without regard to case."""
     def count(w: Column) -> Column:
-        pairs = F.greatest(F.size(w) - 1, F.lit(0))
-        same = F.zip_with(F.slice(w, F.lit(1), pairs), F.slice(w, F.lit(2), pairs), lambda a, b: a == b)
-        return F.size(F.filter(same, lambda equal: equal))
-    return tx.let(tx.words(F.lower(text)), count)
+        return F.size(F.filter(w, lambda word, i: (i > 0) & (word == F.get(w, i - 1))))
+    return tx.let(lowered_words(text) if lowered is None else lowered, count)
 
 
-def fluency(text: Column) -> Column:
-    score = _stepped(adjacent_repeats(text), 0.1)
+def fluency(text: Column, lowered: Column | None = None) -> Column:
+    score = _stepped(adjacent_repeats(text, lowered), 0.1)
     ends = F.lit(False)
     for mark in config.SENTENCE_ENDS:
         ends = ends | F.endswith(tx.strip(text), F.lit(mark))

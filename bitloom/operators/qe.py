@@ -16,34 +16,39 @@ def _score(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("double")
 
 
-def estimate_quality(df: DataFrame) -> DataFrame:
-    """Adds quality_class, error_types and confidence. Missing score columns count as null."""
+def _estimated(df: DataFrame) -> DataFrame:
+    """``estimate_quality`` and ``_words``, the lowered words of the translation: every text is split once."""
     scores = [_score(df, s) for s in SCORES]
     reference = F.col("reference") if "reference" in df.columns else None
-    return df.withColumns({
+    return df.withColumn("_words", q.lowered_words(F.col("translation"))).withColumns({
         "quality_class": q.quality_class(*scores),
-        "error_types": q.error_types(F.col("source"), F.col("translation"), reference),
+        "error_types": q.error_types(F.col("source"), F.col("translation"), reference, F.col("_words")),
         "confidence": q.confidence(*scores),
     })
 
 
+def estimate_quality(df: DataFrame) -> DataFrame:
+    """Adds quality_class, error_types and confidence. Missing score columns count as null."""
+    return _estimated(df).drop("_words")
+
+
 def generate_feedback(df: DataFrame) -> DataFrame:
     """Quality estimate plus edit effort, category scores and suggestions per row.
 
     A chain of projections without Python or an exchange. A column ``edit_ratio`` (likeness of the
     translation to its post-edit), when present, decides the effort.
     """
-    rated = estimate_quality(df)
+    rated = _estimated(df)
     source, translation = F.col("source"), F.col("translation")
     ratio = F.col("edit_ratio") if "edit_ratio" in df.columns else None
     scored = rated.withColumns({
         "edit_effort": q.edit_effort(F.col("quality_class"), ratio),
-        "_fluency": q.fluency(translation),
+        "_fluency": q.fluency(translation, F.col("_words")),
         "_accuracy": q.accuracy_score(_score(df, "comet_qe"), _score(df, "comet")),
         "_terms": q.terminology(source, translation),
         "_form": q.formatting(source, translation),
     })
-    categorised = scored.withColumn("categories", q.categories(
+    categorised = scored.drop("_words").withColumn("categories", q.categories(
         F.col("_fluency"), F.col("_accuracy"), F.col("error_types"), F.col("_terms"), F.col("_form")))
     advised = categorised.withColumn("suggestions", q.suggestions(
         F.col("quality_class"), F.col("error_types"), F.col("categories")))
