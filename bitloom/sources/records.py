@@ -159,18 +159,36 @@ def read_array_objects(spark: SparkSession, path, schema, **options) -> DataFram
     return cut.where(F.startswith(record, F.lit("{"))).select(F.from_json(record, schema).alias("r")).select("r.*")
 
 
+def _without_ends(record: Column) -> Column:
+    """Without the mark before and the line end behind it. Most records have just one line feed."""
+    ends = F.startswith(record, F.lit("\ufeff"))
+    for end in "\r\n\x85\u2028\u2029":
+        ends = ends | F.endswith(record, F.lit(end + "\n"))
+    plain = F.endswith(record, F.lit("\n")) & ~ends
+    return F.when(plain, F.rtrim(record, F.lit("\n"))).otherwise(F.regexp_replace(record, r"^\ufeff|\r?\n$", ""))
+
+
+def _first_lines(spark: SparkSession, path, **options) -> DataFrame:
+    """The first line of every file; two scans of lines, nothing is cut or sent to Python."""
+    lines = _fragments(spark, path, "\n", options).where("block = 0")
+    first = lines.groupBy("file").agg(F.min("pos").alias("pos"))
+    return lines.join(first, ["file", "pos"]).select(F.concat("value", F.lit("\n")).alias("record"))
+
+
 def read_quoted_table(spark: SparkSession, path, schema, sep: str = ",", header: bool = False, **options) -> DataFrame:
     """Rows of CSV or TSV files whose fields may hold line ends, quotes (doubled) and separators between
     quotes. With ``header``, the first record of each file has to name the columns of the schema."""
     cut = cut_records(table_lines(spark, path, **options), "\n", 0)
-    line = F.regexp_replace("record", r"^﻿|\r?\n$", "")
-    rows = cut.select("block", "number", line.alias("record")).where(F.col("record") != "")
+    rows = cut.select("block", "number", _without_ends(F.col("record")).alias("record")).where(F.col("record") != "")
     form = {"sep": sep, "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
     if header:
         names = [f.name for f in schema.fields]
         first = (F.col("block") == 0) & (F.col("number") == 0)
         strings = ", ".join(f"`{n}` string" for n in names)
-        other = rows.where(first).select("record", F.from_csv("record", strings, form).alias("h")).where(
+        # without line ends in the names, a header that fits is one line
+        heads = rows.where(first) if any("\n" in n for n in names) else _first_lines(spark, path, **options).select(
+            _without_ends(F.col("record")).alias("record")).where(F.col("record") != "")
+        other = heads.select("record", F.from_csv("record", strings, form).alias("h")).where(
             ~F.array(*[F.col(f"h.`{n}`") for n in names]).eqNullSafe(F.array(*map(F.lit, names)))).first()
         if other:
             raise ValueError(f"the header {other['record']!r} does not name the columns {names}")

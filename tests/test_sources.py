@@ -224,6 +224,21 @@ def test_wrong_header_and_open_quote(spark, tmp_path):
     assert tables.read_translations(spark, f"{tmp_path}/z.csv").count() == 0
 
 
+def test_header_check_cuts_no_records(spark, tmp_path):
+    from bitloom.sources import records
+
+    for name, head in (("a", "﻿x,y\r\n"), ("b", "x,y\n")):
+        (tmp_path / f"{name}.csv").write_text(head + '1,"p\nq"\n2,r\r\n', newline="")
+    first = records._first_lines(spark, str(tmp_path))
+    assert "MapInArrow" not in first._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["record"] for r in first.collect()) == ["x,y\n", "x,y\r\n"]
+    got = records.read_quoted_table(spark, str(tmp_path), spark.range(0).selectExpr("1 x", "'' y").schema, header=True)
+    assert sorted(map(tuple, got.collect())) == [(1, "p\nq")] * 2 + [(2, "r")] * 2
+    (tmp_path / "c.csv").write_text('"x\n",y\n1,2\n')
+    with pytest.raises(ValueError):
+        records.read_quoted_table(spark, str(tmp_path), got.schema, header=True)
+
+
 def test_benchmark_alignment_joins_documents_and_pages(spark, tmp_path):
     from bitloom.plans import pair_queries
 
