@@ -7,7 +7,8 @@ only short hashes of its contexts left and right of the minimizer: segments that
 a block of documents sends the text of each distinct segment that is left, with its smallest document. A
 part sorts their suffixes: those smaller than their successor are sorted directly, all others are induced
 by scanning the buckets of first bytes in order. Neighbours with a common prefix of ``width`` bytes form
-a group, and every member whose document is not the group's smallest is removed.
+a group, and every member whose document is not the group's smallest is removed. Segments of one
+minimizer are sorted together; those of a very common one band by band, by the windows' distance from it.
 
 Null text counts as empty. A null id comes after all others. Documents with equal ids never remove each
 other; an id with several texts keeps its rows apart. Only the input decides, not what is left. Parts
@@ -405,36 +406,92 @@ def _part(rows: list[tuple], width: int, kmer: int) -> Iterator[tuple[np.ndarray
     _, first, same = np.unique(whole, return_index=True, return_inverse=True)
     size = np.concatenate(sizes)
     start, size, segment = (np.cumsum(size) - size)[first], size[first], same[segment]
+    before = np.concatenate(anchors)[first]
     least = np.full(len(first), _LAST)
     np.minimum.at(least, segment, doc)
     later = doc > least[segment]
     yield doc[later], at[later], at[later] + size[segment[later]]
     # two segments that share a window share the left or the right context
-    some = _repeated(left[first]) | _repeated(right[first])
-    pick = np.flatnonzero(some)
-    data = np.concatenate(texts)
-    # segments with the same minimizer are sorted together, about SORTED symbols at a time
-    turns = int(size[pick].sum() // SORTED) + 1
-    turn = (mini[first][pick] >> np.uint64(40)) % np.uint64(turns)
-    for k in range(turns):
-        own = pick[turn == k]
-        if len(own):
-            yield from _stretches(own, *removed_windows(data, start[own], size[own], least[own], width), width,
-                                  segment, doc, at, later)
-
-
-def _stretches(own, piece, offset, width, segment, doc, at, later):
-    """(doc, start, end) of removed windows, at every place of their segments in the smallest document."""
-    if not len(piece):
+    pick = np.flatnonzero(_repeated(left[first]) | _repeated(right[first]))
+    found = _removed(np.concatenate(texts), start[pick], (start + size)[pick], (start + before)[pick], least[pick],
+                     mini[first][pick], 0, width - kmer, width)
+    # at every place of their segments in the smallest document
+    for spot, low, high in _dealt(((pick[piece], low, high) for piece, low, high in found), segment, ~later):
+        anchor = at[spot] + before[segment[spot]]
+        yield doc[spot], anchor + low, anchor + high
+
+
+def _removed(data, start, end, anchor, least, group, near: int, far: int, width: int) -> Iterator[tuple]:
+    """(piece, from, to), counted from the minimizer: the stretches of distinct pieces that a piece of the same
+    group and a smaller document holds too. All windows begin ``near`` to ``far`` bytes before the minimizer.
+
+    Groups are sorted together, about SORTED symbols at a time. The windows of a larger group are dealt to two
+    bands by their distance from the minimizer: equal windows have the same, and share the more bytes around
+    it, the narrower the band.
+    """
+    size = end - start
+    _, group = np.unique(group, return_inverse=True)
+    symbols = np.bincount(group, weights=size)
+    some, large = np.bincount(group) > 1, symbols > SORTED
+    turn = (np.cumsum(np.where(some & ~large, symbols, 0)) // SORTED)[group]
+    own = np.flatnonzero((some & ~large)[group])
+    own = own[np.argsort(turn[own], kind="stable")]
+    for own in np.split(own, np.flatnonzero(np.diff(turn[own])) + 1) if len(own) else []:
+        piece, offset = removed_windows(data, start[own], size[own], least[own], width)
+        if len(piece):
+            opens = np.concatenate([[True], (np.diff(piece) > 0) | (np.diff(offset) > 1)])
+            closes = np.concatenate([opens[1:], [True]])
+            piece = own[piece[opens]]
+            first = start[piece] - anchor[piece]
+            yield piece, first + offset[opens], first + offset[closes] + width
+    own = np.flatnonzero((some & large)[group])
+    if len(own):
+        middle = (near + far) // 2
+        for band in ((near, middle), (middle + 1, far)):
+            for piece, low, high in _banded(data, start[own], end[own], anchor[own], least[own], *band, width):
+                yield own[piece], low, high
+
+
+def _banded(data, start, end, anchor, least, near: int, far: int, width: int) -> Iterator[tuple]:
+    """(piece, from, to) as above, of the windows that begin ``near`` to ``far`` bytes before the minimizer."""
+    start, end = np.maximum(start, anchor - far), np.minimum(end, anchor - near + width)
+    own = np.flatnonzero(end - start >= width)
+    if not len(own):
         return
-    opens = np.concatenate([[True], (np.diff(piece) > 0) | (np.diff(offset) > 1)])
-    closes = np.concatenate([opens[1:], [True]])
-    piece, low, high = own[piece[opens]], offset[opens], offset[closes] + width
-    place = np.flatnonzero(~later & np.isin(segment, piece))
-    place = place[np.argsort(segment[place], kind="stable")]
-    from_, to = np.searchsorted(segment[place], piece), np.searchsorted(segment[place], piece, side="right")
-    which, spot = np.repeat(np.arange(len(piece)), to - from_), place[ragged(from_, to - from_)]
-    yield doc[spot], at[spot] + low[which], at[spot] + high[which]
+    start, end, anchor, least = start[own], end[own], anchor[own], least[own]
+    # the bytes that all windows of the band hold tell the groups apart; those of one distance are such a group
+    whole, shared = _piece_hashes(data, start, end, anchor - near, anchor - far + width)
+    _, first, same = np.unique(whole, return_index=True, return_inverse=True)
+    low = np.full(len(first), _LAST)
+    np.minimum.at(low, same, least)
+    later = least > low[same]
+    yield own[later], (start - anchor)[later], (end - anchor)[later]
+    found = _removed(data, start[first], end[first], anchor[first], low, shared[first], near, far, width)
+    for piece, *stretch in _dealt(found, same, ~later):
+        yield own[piece], *stretch
+
+
+def _piece_hashes(data, start, end, low, high) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of pieces and of a stretch inside each, a few pieces at a time."""
+    turn = np.cumsum(end - start) // STEP
+    out = []
+    for own in np.split(np.arange(len(start)), np.flatnonzero(np.diff(turn)) + 1):
+        size = (end - start)[own]
+        hashes, close = Hashes(data[ragged(start[own], size)]), np.cumsum(size)
+        shift = close - size - start[own]
+        out.append((hashes.of(close - size, close), hashes.of(low[own] + shift, high[own] + shift)))
+    return tuple(map(np.concatenate, zip(*out)))
+
+
+def _dealt(found: Iterator[tuple], same: np.ndarray, kept: np.ndarray) -> Iterator[tuple]:
+    """Stretches of distinct pieces, at each kept member that is the same piece."""
+    members = np.flatnonzero(kept)
+    members = members[np.argsort(same[members], kind="stable")]
+    of = same[members]
+    for piece, low, high in found:
+        first = np.searchsorted(of, piece)
+        n = np.searchsorted(of, piece, side="right") - first
+        yield members[ragged(first, n)], np.repeat(low, n), np.repeat(high, n)
 
 
 def _part_rows(width: int, kmer: int):

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -157,6 +158,29 @@ def test_suffix_dedup_keeps_texts_of_one_id_apart(spark):
     assert sorted(r["n_removed"] for r in got) == [0, 0, 90, 90]
 
 
+def test_suffix_dedup_sorts_a_common_line_in_bounded_pieces(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 9))) for _ in range(12)]
+    texts = [(i, f"{' '.join(rng.choices(words, k=9))} a line that very many texts hold {' '.join(rng.choices(words, k=9))}".encode())
+             for i in range(400)]
+    sorted_at_once = []
+
+    def noted(text, start, size, *rest):
+        sorted_at_once.append(int(size.sum()))
+        return plain(text, start, size, *rest)
+
+    plain = suffix_dedup.removed_windows
+    monkeypatch.setattr(suffix_dedup, "removed_windows", noted)
+    monkeypatch.setattr(suffix_dedup, "SORTED", 2000)
+    rows = [r for k in (0, 1) for r in suffix_dedup._block([(i, 0, t, np.arange(len(t))) for i, t in texts[k::2]], 1, 50, 6, 0)]
+    gone = {i: [False] * len(t) for i, t in texts}
+    for doc, start, end in suffix_dedup._part(rows, 50, 6):
+        for i, a, b in zip(doc.tolist(), start.tolist(), end.tolist()):
+            gone[i][a:b] = [True] * (b - a)
+    assert gone == {i: g for i, _, g in removed(texts)} and any(map(any, gone.values()))
+    assert max(sorted_at_once) <= 2 * suffix_dedup.SORTED
+
+
 def test_spotsigs(docs):
     rows = sorted(rows_of(spotsigs.report(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))), key=lambda r: r["doc_id"])
     texts = dict((i, t or "") for i, t in given() if i is not None)
