@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bitloom import config, session
 from bitloom.operators import augment, features, filters, glossary, quantiles, ranks, split, stats, store, translate
+from bitloom.plans import text_queries
 
 PAIRS = "sample_id string, row_idx long, source string, target string"
 
@@ -162,6 +163,23 @@ def test_glossary(spark):
     assert merged["app"] == "toepassing" and merged["boom"] == "tree" and len(merged) == 41
 
 
+def test_glossary_lookup_never_sorts_by_word(spark, tmp_path, capsys):
+    rows = [(i % 40 if i % 7 else None, None if i == 5 else "The " * 30 + f"Word{i % 5} only{i}") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = text_queries.glossary_lookup(spark, str(tmp_path))
+    got = {r["doc_id"]: tuple(r)[1:] for r in found.collect()}
+    want = {}
+    for i, text in rows:
+        for word in (text or "").lower().split():
+            want.setdefault(i, []).append(word)
+    known = {i: [w for w in words if not w.startswith("only")] for i, words in want.items()}
+    assert got == {i: (len(words), len(known[i]), f"<{min(known[i])}>") for i, words in want.items()}
+    found.explain()
+    plan = capsys.readouterr().out
+    # a frequent word's occurrences stream past the terms, then go to partitions that can be split
+    assert "ShuffledHashJoin" in plan and "REBALANCE_PARTITIONS_BY_COL" in plan and "Sort [term" not in plan
+
+
 def test_fallback_words(column):
     assert column(glossary.fallback_translation, "My Phone  SETTINGS", "PC", "") == ["my telefoon instellingen", "pc", ""]
 
